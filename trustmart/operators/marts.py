@@ -19,7 +19,7 @@ from trustmart.functions.metrics import (
     is_excluded,
     on_time_flag,
 )
-from trustmart.operators.ranking import HOT_MIN_ROWS, HOT_SHARE, sequence_within
+from trustmart.operators.ranking import sequence_within
 
 # --- dimensions -----------------------------------------------------------------------------
 
@@ -215,20 +215,20 @@ def with_customer(facts: DataFrame, stg_customers: DataFrame) -> DataFrame:
 
 def with_order_sequence(
     facts: DataFrame,
+    rows: int,
     keys_from: DataFrame | None = None,
-    share: int = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
+    threshold: int | None = None,
 ) -> DataFrame:
-    """Numbers the orders of each person in time."""
+    """Numbers the orders of each person in time; ``rows`` is an upper bound of their number."""
     return sequence_within(
         facts,
         "customer_unique_id",
         "order_purchase_ts",
         "order_id",
         "customer_order_sequence",
-        keys_from=keys_from,
-        share=share,
-        min_rows=min_rows,
+        rows,
+        keys_from,
+        threshold,
     )
 
 
@@ -261,21 +261,16 @@ FACT_ORDERS_COLUMNS = (
 
 
 def fact_orders(
-    stg_orders: DataFrame,
-    items: DataFrame,
-    stg_payments: DataFrame,
-    stg_reviews: DataFrame,
-    stg_customers: DataFrame,
-    excluded: Sequence[str] = EXCLUDED_STATUSES,
+    facts: DataFrame,
+    rows: int,
+    keys_from: DataFrame | None = None,
+    threshold: int | None = None,
 ) -> DataFrame:
-    """One row per order: roll-ups, flags, person and the person's order number."""
-    facts = with_customer(
-        order_facts(stg_orders, items, stg_payments, stg_reviews, excluded), stg_customers
-    )
-    keys = with_customer(
-        stg_orders.select("order_id", "customer_id", "order_purchase_ts"), stg_customers
-    )
-    return with_order_sequence(facts, keys_from=keys).select(*FACT_ORDERS_COLUMNS)
+    """One row per order: roll-ups, flags, person and the person's order number.
+
+    ``facts`` are the order facts with their customers (see ``order_facts``, ``with_customer``).
+    """
+    return with_order_sequence(facts, rows, keys_from, threshold).select(*FACT_ORDERS_COLUMNS)
 
 
 def rollup_seller_orders(items: DataFrame) -> DataFrame:

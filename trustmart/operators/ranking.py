@@ -7,25 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE
-# hot keys whatever the data: the broadcast below is bounded by that, not by a guess.
-HOT_SHARE = 1000
-# Keys below this many rows are never worth splitting.
+# A key with fewer rows than this is never worth splitting.
 HOT_MIN_ROWS = 1_000_000
+# Fewer than this many keys can ever count as hot, so the list of them is small enough to broadcast
+# whatever the data: the row threshold of ``hot_rows`` grows with the table.
+MAX_HOT_KEYS = 100_000
 
 
-def hot_keys(
-    df: DataFrame, key: Column, share: int = HOT_SHARE, min_rows: int = HOT_MIN_ROWS
-) -> DataFrame:
-    """Keys that hold more than one ``share``-th of the rows, as one column ``hot_key``."""
+def hot_rows(rows: int) -> int:
+    """Rows from which a key of a table with at most ``rows`` rows is hot."""
+    return max(HOT_MIN_ROWS, rows // MAX_HOT_KEYS)
+
+
+def hot_keys(df: DataFrame, key: Column, threshold: int) -> DataFrame:
+    """Keys with at least ``threshold`` rows, as one column ``hot_key``."""
     counts = df.groupBy(key.alias("hot_key")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    return (
-        counts.filter(F.col("n") >= min_rows)
-        .crossJoin(F.broadcast(total))
-        .filter(F.col("n") * share > F.col("total"))
-        .select("hot_key")
-    )
+    return counts.filter(F.col("n") >= threshold).select("hot_key")
 
 
 def sequence_within(
@@ -34,18 +31,26 @@ def sequence_within(
     ts: str,
     tie_break: str,
     out: str,
+    rows: int,
     keys_from: DataFrame | None = None,
-    share: int = HOT_SHARE,
-    min_rows: int = HOT_MIN_ROWS,
+    threshold: int | None = None,
 ) -> DataFrame:
     """Running number of each row within ``key``, by ``ts`` (NULLS LAST), then ``tie_break``.
 
     Equals ``row_number()`` per key, but a hot key (NULL included) is numbered in slots: one per
     hour, a hot hour again by exact timestamp, a hot timestamp by leading characters of the
     tie-break. Each slot is numbered alone and shifted by the rows in earlier slots of its key.
-    ``keys_from`` may name a narrower frame with the same rows, so that the counting passes do not
-    recompute ``df``.
+
+    ``rows`` is an upper bound of the number of rows; a table below the hot threshold gets a plain
+    window. ``keys_from`` may name a narrower frame with the same rows, so that the counting passes
+    do not recompute ``df``. ``threshold`` replaces the row count from which a key is hot.
     """
+    threshold = threshold or hot_rows(rows)
+    in_time = [F.col(ts).asc_nulls_last(), F.col(tie_break).asc_nulls_last()]
+    if rows < threshold:
+        window = Window.partitionBy(key).orderBy(*in_time)
+        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
+
     stamp = F.col(ts).cast("string")
     lead = F.substring(F.col(tie_break).cast("string"), 1, 4)
     # Fixed-width texts (the last one aside), so that slots sort like (ts, tie_break).
@@ -75,11 +80,11 @@ def sequence_within(
             .drop("hot_key")
         )
 
-    rows = tagged(df)
+    numbered = tagged(df)
     probe = tagged(df if keys_from is None else keys_from)
     for level in levels:
-        hot = hot_keys(probe.filter("__split"), F.col("__slot"), share, min_rows)
-        rows, probe = refine(rows, hot, level), refine(probe, hot, level)
+        hot = hot_keys(probe.filter("__split"), F.col("__slot"), threshold)
+        numbered, probe = refine(numbered, hot, level), refine(probe, hot, level)
 
     earlier = (
         Window.partitionBy("__key")
@@ -95,11 +100,9 @@ def sequence_within(
             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__shift"),
         )
     )
-    in_slot = Window.partitionBy("__slot").orderBy(
-        F.col(ts).asc_nulls_last(), F.col(tie_break).asc_nulls_last()
-    )
+    in_slot = Window.partitionBy("__slot").orderBy(*in_time)
     return (
-        rows.withColumn("__n", F.row_number().over(in_slot).cast("bigint"))
+        numbered.withColumn("__n", F.row_number().over(in_slot).cast("bigint"))
         .join(shifts, F.col("__slot") == F.col("__shift_slot"), "left")
         .withColumn(out, F.col("__n") + F.coalesce(F.col("__shift"), F.lit(0)))
         .drop("__key", "__slot", "__split", "__n", "__shift_slot", "__shift")

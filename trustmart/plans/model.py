@@ -98,16 +98,40 @@ class Model:
     def fact_order_items(self):
         return marts.fact_order_items(self.stg_order_items, self.stg_orders)
 
+    @_table(MARTS)
+    def order_facts(self):
+        """Order facts with the person, before orders are numbered."""
+        return marts.with_customer(self._bare_orders(), self.stg_customers)
+
     @_table(MARTS)
     def fact_orders(self):
-        return marts.fact_orders(
-            self.stg_orders,
-            self.order_lines,
-            self.stg_order_payments,
-            self.stg_order_reviews,
-            self.stg_customers,
+        if self.keep:
+            # Stored: the row count comes from file footers, the keys from three narrow columns.
+            return marts.fact_orders(self.order_facts, self.order_facts.count())
+        return marts.fact_orders(self.order_facts, self._order_bound(), self.order_keys)
+
+    def _bare_orders(self) -> DataFrame:
+        return marts.order_facts(
+            self.stg_orders, self.order_lines, self.stg_order_payments, self.stg_order_reviews
         )
 
+    def _order_bound(self) -> int:
+        """At least the number of orders, without building them."""
+        return self.raw("orders").count()
+
+    @cached_property
+    def order_keys(self) -> DataFrame:
+        orders = self.stg_orders.select("order_id", "customer_id", "order_purchase_ts")
+        return marts.with_customer(orders, self.stg_customers)
+
+    def order_sequence(self) -> DataFrame:
+        """The order number alone."""
+        if self.keep:
+            numbered = self.fact_orders
+        else:
+            numbered = marts.with_order_sequence(self.order_keys, self._order_bound())
+        return numbered.select("order_id", "customer_unique_id", "customer_order_sequence")
+
     # --- what the KPIs read ---
     # Over stored tables these are the marts themselves. In a lazy model they are the same rows
     # without the parts a KPI cannot need, so that nothing is computed only to be thrown away.
@@ -120,18 +144,12 @@ class Model:
     @cached_property
     def orders(self) -> DataFrame:
         """Order facts without the person and the order number."""
-        if self.keep:
-            return self.fact_orders
-        return marts.order_facts(
-            self.stg_orders, self.order_lines, self.stg_order_payments, self.stg_order_reviews
-        )
+        return self.fact_orders if self.keep else self._bare_orders()
 
     @cached_property
     def orders_of_people(self) -> DataFrame:
         """Order facts with the person, without the order number."""
-        if self.keep:
-            return self.fact_orders
-        return marts.with_customer(self.orders, self.stg_customers)
+        return self.fact_orders if self.keep else self.order_facts
 
     @cached_property
     def customers(self) -> DataFrame:

@@ -265,16 +265,10 @@ query("review_rollup", "SELECT * FROM review_rollup")(
 )
 
 
-@query(
+query(
     "order_sequence",
     "SELECT order_id, customer_unique_id, customer_order_sequence FROM fact_orders",
-)
-def order_sequence(m: Model) -> DataFrame:
-    orders = m.stg_orders.select("order_id", "customer_id", "order_purchase_ts")
-    return marts.with_order_sequence(marts.with_customer(orders, m.stg_customers)).select(
-        "order_id", "customer_unique_id", "customer_order_sequence"
-    )
-
+)(Model.order_sequence)
 
 query(
     "order_seller_performance",
