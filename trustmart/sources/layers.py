@@ -5,23 +5,26 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RAW, STAGING, MARTS, KPI = "raw", "staging", "marts", "kpi"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="trustmart-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor sees: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only where nothing is set, as in tests, a local folder is made and set.
+    Only where nothing is named, as in tests, it is a local folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="trustmart-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _local_folder()).rstrip("/")
 
 
 @dataclass(frozen=True)
@@ -112,7 +115,12 @@ class PublicationLog:
 
     def latest(self) -> str | None:
         """Run id of the newest release; one row reaches the driver."""
-        log = self.spark.read.schema("run_id string, published_at timestamp").parquet(self.path)
+        try:
+            log = self.spark.read.parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
         return log.agg(F.max_by("run_id", "published_at").alias("run_id")).first()["run_id"]
 
     def read_kpi(self, name: str) -> DataFrame:
