@@ -150,11 +150,16 @@ def test_small_tables_take_the_plain_window(spark):
 
 
 def test_fact_orders_with_split_keys(spark, small_model):
-    split = marts.fact_orders(
-        small_model.order_facts, 10**9, keys_from=small_model.order_keys, threshold=8
-    )
-    columns = ["order_id", "customer_unique_id", "customer_order_sequence"]
-    assert bag(split.select(columns)) == bag(small_model.fact_orders.select(columns))
+    split = marts.number_orders(small_model.order_keys, 10**9, threshold=8)
+    assert bag(split) == bag(small_model.order_sequence())
+
+
+def test_order_without_id_keeps_its_person(spark):
+    orders = data.ORDERS + [(None, "c2", "shipped", "2018-02-01 00:00:00", None, None)]
+    rows = by(shop(spark, orders=orders).fact_orders, "order_id")
+    assert len(rows) == 7
+    assert (rows[None].customer_unique_id, rows[None].customer_order_sequence) == ("u1", 3)
+    assert rows["o2"].customer_order_sequence == 2
 
 
 def test_rows_keep_their_number_after_repartitioning(spark):

@@ -206,30 +206,27 @@ def order_facts(
     return with_cancel_flag(with_on_time(with_revenue_eligibility(facts, excluded)), excluded)
 
 
-def with_customer(facts: DataFrame, stg_customers: DataFrame) -> DataFrame:
+def order_keys(stg_orders: DataFrame, stg_customers: DataFrame) -> DataFrame:
+    """Who ordered when: the few columns that customer KPIs and order numbers need."""
     people = stg_customers.select(F.col("customer_id").alias("__customer"), "customer_unique_id")
-    return facts.join(people, F.col("customer_id") == F.col("__customer"), "left").drop(
-        "__customer"
+    return (
+        stg_orders.select("order_id", "customer_id", "order_purchase_ts")
+        .join(people, F.col("customer_id") == F.col("__customer"), "left")
+        .drop("__customer")
     )
 
 
-def with_order_sequence(
-    facts: DataFrame,
-    rows: int,
-    keys_from: DataFrame | None = None,
-    threshold: int | None = None,
-) -> DataFrame:
+def number_orders(keys: DataFrame, rows: int, threshold: int | None = None) -> DataFrame:
     """Numbers the orders of each person in time; ``rows`` is an upper bound of their number."""
     return sequence_within(
-        facts,
+        keys,
         "customer_unique_id",
         "order_purchase_ts",
         "order_id",
         "customer_order_sequence",
         rows,
-        keys_from,
         threshold,
-    )
+    ).select("order_id", "customer_unique_id", "customer_order_sequence")
 
 
 FACT_ORDERS_COLUMNS = (
@@ -260,17 +257,18 @@ FACT_ORDERS_COLUMNS = (
 )
 
 
-def fact_orders(
-    facts: DataFrame,
-    rows: int,
-    keys_from: DataFrame | None = None,
-    threshold: int | None = None,
-) -> DataFrame:
+def fact_orders(facts: DataFrame, numbered: DataFrame, null_ids: bool = False) -> DataFrame:
     """One row per order: roll-ups, flags, person and the person's order number.
 
-    ``facts`` are the order facts with their customers (see ``order_facts``, ``with_customer``).
+    Persons and numbers are worked out on narrow rows (``number_orders``) and come back by order
+    id, the key the wide facts are partitioned by already: the facts themselves are never shuffled
+    by customer. Pass ``null_ids`` if an order without id exists; matching it needs a null-safe
+    join, which costs the facts a shuffle.
     """
-    return with_order_sequence(facts, rows, keys_from, threshold).select(*FACT_ORDERS_COLUMNS)
+    people = numbered.withColumnRenamed("order_id", "__order")
+    ours, theirs = F.col("order_id"), F.col("__order")
+    same = ours.eqNullSafe(theirs) if null_ids else ours == theirs
+    return facts.join(people, same, "left").select(*FACT_ORDERS_COLUMNS)
 
 
 def rollup_seller_orders(items: DataFrame) -> DataFrame:

@@ -32,7 +32,6 @@ def sequence_within(
     tie_break: str,
     out: str,
     rows: int,
-    keys_from: DataFrame | None = None,
     threshold: int | None = None,
 ) -> DataFrame:
     """Running number of each row within ``key``, by ``ts`` (NULLS LAST), then ``tie_break``.
@@ -42,8 +41,8 @@ def sequence_within(
     tie-break. Each slot is numbered alone and shifted by the rows in earlier slots of its key.
 
     ``rows`` is an upper bound of the number of rows; a table below the hot threshold gets a plain
-    window. ``keys_from`` may name a narrower frame with the same rows, so that the counting passes
-    do not recompute ``df``. ``threshold`` replaces the row count from which a key is hot.
+    window. ``threshold`` replaces the row count from which a key is hot. ``df`` is read once more
+    per counting pass, so hand in a narrow or stored frame.
     """
     threshold = threshold or hot_rows(rows)
     in_time = [F.col(ts).asc_nulls_last(), F.col(tie_break).asc_nulls_last()]
@@ -80,11 +79,10 @@ def sequence_within(
             .drop("hot_key")
         )
 
-    numbered = tagged(df)
-    probe = tagged(df if keys_from is None else keys_from)
+    slotted = tagged(df)
     for level in levels:
-        hot = hot_keys(probe.filter("__split"), F.col("__slot"), threshold)
-        numbered, probe = refine(numbered, hot, level), refine(probe, hot, level)
+        hot = hot_keys(slotted.filter("__split"), F.col("__slot"), threshold)
+        slotted = refine(slotted, hot, level)
 
     earlier = (
         Window.partitionBy("__key")
@@ -92,7 +90,7 @@ def sequence_within(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     shifts = (
-        probe.filter(F.col("__slot") != F.col("__key"))
+        slotted.filter(F.col("__slot") != F.col("__key"))
         .groupBy("__key", "__slot")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
@@ -102,7 +100,7 @@ def sequence_within(
     )
     in_slot = Window.partitionBy("__slot").orderBy(*in_time)
     return (
-        numbered.withColumn("__n", F.row_number().over(in_slot).cast("bigint"))
+        slotted.withColumn("__n", F.row_number().over(in_slot).cast("bigint"))
         .join(shifts, F.col("__slot") == F.col("__shift_slot"), "left")
         .withColumn(out, F.col("__n") + F.coalesce(F.col("__shift"), F.lit(0)))
         .drop("__key", "__slot", "__split", "__n", "__shift_slot", "__shift")

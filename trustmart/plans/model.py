@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from trustmart.operators import contracts, kpis, marts, quality, staging
 from trustmart.sources.layers import MARTS, STAGING
@@ -98,39 +99,26 @@ class Model:
     def fact_order_items(self):
         return marts.fact_order_items(self.stg_order_items, self.stg_orders)
 
-    @_table(MARTS)
-    def order_facts(self):
-        """Order facts with the person, before orders are numbered."""
-        return marts.with_customer(self._bare_orders(), self.stg_customers)
-
     @_table(MARTS)
     def fact_orders(self):
-        if self.keep:
-            # Stored: the row count comes from file footers, the keys from three narrow columns.
-            return marts.fact_orders(self.order_facts, self.order_facts.count())
-        return marts.fact_orders(self.order_facts, self._order_bound(), self.order_keys)
+        rows, null_ids = self._order_bounds
+        numbered = marts.number_orders(self.order_keys, rows)
+        return marts.fact_orders(self._bare_orders(), numbered, null_ids)
 
     def _bare_orders(self) -> DataFrame:
         return marts.order_facts(
             self.stg_orders, self.order_lines, self.stg_order_payments, self.stg_order_reviews
         )
 
-    def _order_bound(self) -> int:
-        """At least the number of orders, without building them."""
-        return self.raw("orders").count()
-
     @cached_property
-    def order_keys(self) -> DataFrame:
-        orders = self.stg_orders.select("order_id", "customer_id", "order_purchase_ts")
-        return marts.with_customer(orders, self.stg_customers)
+    def _order_bounds(self) -> tuple[int, bool]:
+        """(upper bound of the number of orders, whether any has no id): one row, one column read.
 
-    def order_sequence(self) -> DataFrame:
-        """The order number alone."""
-        if self.keep:
-            numbered = self.fact_orders
-        else:
-            numbered = marts.with_order_sequence(self.order_keys, self._order_bound())
-        return numbered.select("order_id", "customer_unique_id", "customer_order_sequence")
+        A stored model asks its staging table, a lazy one the raw table it would be built from.
+        """
+        orders = self.stg_orders if self.keep else self.raw("orders")
+        row = orders.agg(F.count(F.lit(1)).alias("n"), F.count("order_id").alias("ids")).first()
+        return row["n"], row["n"] > row["ids"]
 
     # --- what the KPIs read ---
     # Over stored tables these are the marts themselves. In a lazy model they are the same rows
@@ -143,13 +131,18 @@ class Model:
 
     @cached_property
     def orders(self) -> DataFrame:
-        """Order facts without the person and the order number."""
+        """Order facts; in a lazy model without the person and the order number."""
         return self.fact_orders if self.keep else self._bare_orders()
 
+    @cached_property
+    def order_keys(self) -> DataFrame:
+        """Who ordered when."""
+        return marts.order_keys(self.stg_orders, self.stg_customers)
+
     @cached_property
     def orders_of_people(self) -> DataFrame:
-        """Order facts with the person, without the order number."""
-        return self.fact_orders if self.keep else self.order_facts
+        """Orders with their person, for customer KPIs."""
+        return self.fact_orders if self.keep else self.order_keys
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -165,6 +158,14 @@ class Model:
 
     # --- KPIs ---
 
+    def order_sequence(self) -> DataFrame:
+        """The order number alone."""
+        if self.keep:
+            return self.fact_orders.select(
+                "order_id", "customer_unique_id", "customer_order_sequence"
+            )
+        return marts.number_orders(self.order_keys, self._order_bounds[0])
+
     def order_seller_performance(self) -> DataFrame:
         return marts.order_seller_performance(self.order_lines, self.orders)
 
