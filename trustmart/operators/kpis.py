@@ -24,6 +24,7 @@ from trustmart.functions.metrics import (
     share_of_rows,
 )
 from trustmart.operators import ranking
+from trustmart.operators.joins import lookup
 from trustmart.operators.marts import order_seller_performance, rollup_seller_orders
 
 
@@ -115,9 +116,9 @@ def item_categories(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items with their translated category, ``unknown`` for unknown products."""
     names = products.select(F.col("product_id").alias("__product"), "product_category_name_en")
     return (
-        items.join(names, F.col("product_id") == F.col("__product"), "left")
+        lookup(items, names, "product_id", "__product")
         .withColumn("category", F.coalesce("product_category_name_en", F.lit("unknown")))
-        .drop("__product", "product_category_name_en")
+        .drop("product_category_name_en")
     )
 
 
@@ -130,7 +131,7 @@ def category_performance(items: DataFrame, facts: DataFrame, products: DataFrame
     lines = items.groupBy("order_id", "product_id").agg(
         F.sum("gmv").alias("gmv"), F.count("gmv").alias("priced_lines")
     )
-    sold = lines.join(_eligible(facts), F.col("order_id") == F.col("__order"))
+    sold = lookup(lines, _eligible(facts), "order_id", "__order", "inner")
     return (
         item_categories(sold, products)
         .groupBy("category")
@@ -168,16 +169,14 @@ def seller_risk(
 ) -> DataFrame:
     """Operational profile of sellers with at least ``min_orders`` orders."""
     eligible = F.col("is_revenue_eligible_order") == 1
-    seller_orders = rollup_seller_orders(items).join(
-        _order_columns(
-            facts,
-            "is_revenue_eligible_order",
-            "is_on_time_delivery",
-            "is_canceled_or_unavailable",
-            "avg_review_score",
-        ),
-        F.col("order_id") == F.col("__order"),
+    flags = _order_columns(
+        facts,
+        "is_revenue_eligible_order",
+        "is_on_time_delivery",
+        "is_canceled_or_unavailable",
+        "avg_review_score",
     )
+    seller_orders = lookup(rollup_seller_orders(items), flags, "order_id", "__order", "inner")
     profile = seller_orders.groupBy("seller_id").agg(
         F.count(F.lit(1)).alias("orders_all"),
         F.count(F.when(eligible, 1)).alias("orders_revenue_eligible"),
@@ -243,7 +242,7 @@ def seller_concentration(
     items: DataFrame, facts: DataFrame, ks: Sequence[int] = (5, 10, 50)
 ) -> DataFrame:
     """GMV and share of the leading sellers, eligible orders only."""
-    sold = rollup_seller_orders(items).join(_eligible(facts), F.col("order_id") == F.col("__order"))
+    sold = lookup(rollup_seller_orders(items), _eligible(facts), "order_id", "__order", "inner")
     return ranking.concentration(sold, "seller_id", "seller_gmv", ks)
 
 

@@ -19,6 +19,7 @@ from trustmart.functions.metrics import (
     is_excluded,
     on_time_flag,
 )
+from trustmart.operators.joins import lookup
 from trustmart.operators.ranking import sequence_within
 
 # --- dimensions -----------------------------------------------------------------------------
@@ -36,7 +37,7 @@ def dim_geography(stg_geo: DataFrame) -> DataFrame:
 
 def _with_coordinates(df: DataFrame, zip_col: str, geography: DataFrame) -> DataFrame:
     places = geography.select(F.col("zip_code_prefix").alias("__zip"), "latitude", "longitude")
-    return df.join(places, F.col(zip_col) == F.col("__zip"), "left").drop("__zip")
+    return lookup(df, places, zip_col, "__zip")
 
 
 def dim_customers(
@@ -110,22 +111,18 @@ def fact_order_items(stg_items: DataFrame, stg_orders: DataFrame) -> DataFrame:
     orders = stg_orders.select(
         F.col("order_id").alias("__order"), "customer_id", "order_status", "order_purchase_ts"
     )
-    return (
-        with_item_gmv(stg_items)
-        .join(orders, F.col("order_id") == F.col("__order"))
-        .select(
-            "order_id",
-            "order_item_id",
-            "customer_id",
-            "product_id",
-            "seller_id",
-            "order_status",
-            F.col("order_purchase_ts").cast("date").alias("purchase_date"),
-            "shipping_limit_ts",
-            "price",
-            "freight_value",
-            "gmv",
-        )
+    return lookup(with_item_gmv(stg_items), orders, "order_id", "__order", "inner").select(
+        "order_id",
+        "order_item_id",
+        "customer_id",
+        "product_id",
+        "seller_id",
+        "order_status",
+        F.col("order_purchase_ts").cast("date").alias("purchase_date"),
+        "shipping_limit_ts",
+        "price",
+        "freight_value",
+        "gmv",
     )
 
 
@@ -209,11 +206,8 @@ def order_facts(
 def order_keys(stg_orders: DataFrame, stg_customers: DataFrame) -> DataFrame:
     """Who ordered when: the few columns that customer KPIs and order numbers need."""
     people = stg_customers.select(F.col("customer_id").alias("__customer"), "customer_unique_id")
-    return (
-        stg_orders.select("order_id", "customer_id", "order_purchase_ts")
-        .join(people, F.col("customer_id") == F.col("__customer"), "left")
-        .drop("__customer")
-    )
+    orders = stg_orders.select("order_id", "customer_id", "order_purchase_ts")
+    return lookup(orders, people, "customer_id", "__customer")
 
 
 def number_orders(keys: DataFrame, rows: int, threshold: int | None = None) -> DataFrame:
@@ -288,17 +282,13 @@ def order_seller_performance(items: DataFrame, orders: DataFrame) -> DataFrame:
         "order_status",
         F.col("order_purchase_ts").cast("date").alias("purchase_date"),
     )
-    return (
-        rollup_seller_orders(items)
-        .join(known, F.col("order_id") == F.col("__order"))
-        .select(
-            "seller_id",
-            "order_id",
-            "order_status",
-            "purchase_date",
-            "seller_item_revenue",
-            "seller_freight_revenue",
-            "seller_gmv",
-            "seller_item_count",
-        )
+    return lookup(rollup_seller_orders(items), known, "order_id", "__order", "inner").select(
+        "seller_id",
+        "order_id",
+        "order_status",
+        "purchase_date",
+        "seller_item_revenue",
+        "seller_freight_revenue",
+        "seller_gmv",
+        "seller_item_count",
     )

@@ -18,6 +18,7 @@ from trustmart.functions.metrics import (
     ratio,
     share_of_rows,
 )
+from trustmart.operators.joins import lookup
 from trustmart.operators.kpis import item_categories, seller_concentration
 from trustmart.operators.marts import calendar
 
@@ -155,7 +156,8 @@ def apply_slicers(
 
 def orders_of_customers(facts: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders placed by any of the given customers (for the customer-state slicer)."""
-    return facts.join(customers.select("customer_id"), "customer_id", "left_semi")
+    chosen = customers.select(F.col("customer_id").alias("__customer"))
+    return lookup(facts, chosen, "customer_id", "__customer", "left_semi")
 
 
 def orders_with_items(facts: DataFrame, items: DataFrame) -> DataFrame:
@@ -200,11 +202,9 @@ def category_reviews(items: DataFrame, facts: DataFrame, products: DataFrame) ->
         F.col("order_id").alias("__order"), "avg_review_score"
     )
     lines = items.select("order_id", "product_id").distinct()
+    orders = item_categories(lines, products).select("order_id", "category").distinct()
     return (
-        item_categories(lines, products)
-        .select("order_id", "category")
-        .distinct()
-        .join(scores, F.col("order_id") == F.col("__order"))
+        lookup(orders, scores, "order_id", "__order", "inner")
         .groupBy("category")
         .agg(
             F.count(F.lit(1)).alias("orders"),
