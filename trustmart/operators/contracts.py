@@ -293,6 +293,18 @@ def observe(
     )
 
 
+def gmv_reconciliation(items: DataFrame, facts: DataFrame) -> DataFrame:
+    """Total GMV by items and by orders, side by side; the difference should be zero."""
+    by_orders = facts.agg(F.sum("item_gmv").alias("orders_gmv"))
+    return _observe_items(items).crossJoin(F.broadcast(by_orders)).select(
+        F.col("items_gmv").cast("double").alias("item_level_gmv"),
+        F.col("orders_gmv").cast("double").alias("order_level_gmv"),
+        (F.col("items_gmv") - F.col("orders_gmv"))
+        .cast("double")
+        .alias("difference_should_be_zero"),
+    )
+
+
 # --- results and gate -----------------------------------------------------------------------
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from trustmart.operators.contracts import gate, summarize
 from trustmart.operators.kpis import report_order
 from trustmart.plans.model import Model
-from trustmart.sources.layers import Layers, PublicationLog, export, require_single_row
+from trustmart.sources.layers import RAW, Layers, PublicationLog, export, require_single_row
+from trustmart.sources.raw import RAW_COLUMNS, register
 
 
 def publish(
@@ -18,17 +19,24 @@ def publish(
     root: str,
     run_id: str,
     csv_path: str | None = None,
+    land_raw: bool = False,
 ) -> DataFrame:
     """Run everything under ``root/runs/<run_id>`` and release it; returns the contract results.
 
     Staging, marts and reports are written as Parquet inside the run's own folder. The contracts
     then read the written reports. A critical failure raises ``PublicationBlocked``: the results
     stay readable in the run's folder and readers keep the previous release. With ``csv_path`` the
-    released reports are also exported as sorted CSV with a header.
+    released reports are also exported as sorted CSV with a header. ``land_raw`` first stores the
+    raw tables as Parquet too: worth it for CSV input, which would else be parsed once per reader,
+    and in one task where it is multi-line.
     """
     log = PublicationLog(spark, root)
     layers = Layers(spark, log.run_path(run_id)).create()
+    if land_raw:
+        landed = {name: layers.materialize(RAW, name, raw(name)) for name in RAW_COLUMNS}
+        raw = landed.__getitem__
     model = Model(raw, keep=layers.materialize)
+    register(model.order_seller_performance(), "vw_order_seller_performance")
 
     reports = model.reports()
     for name, build in reports.items():

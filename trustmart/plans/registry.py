@@ -16,7 +16,14 @@ from trustmart.operators.dedupe import asc_last, dedupe_keep_first, desc_last
 from trustmart.plans.model import Model
 from trustmart.plans.oracle import statement
 from trustmart.sources.adapter import DriverTables
-from trustmart.sources.layers import KPI, STAGING, Layers, export, require_single_row, shared_folder
+from trustmart.sources.layers import (
+    KPI,
+    STAGING,
+    Layers,
+    export,
+    require_single_row,
+    shared_folder,
+)
 from trustmart.sources.raw import read_raw
 
 Plan = Callable[[Model], DataFrame]
@@ -98,7 +105,7 @@ def single_row_guard(m: Model) -> DataFrame:
         ORDER BY l_shipdate DESC NULLS LAST, l_partkey NULLS LAST, l_suppkey NULLS LAST) = 1""",
 )
 def dedupe_items(m: Model) -> DataFrame:
-    lines = m.source._read("lineitem").select(
+    lines = m.source.table("lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"
     )
     return dedupe_keep_first(
@@ -385,6 +392,15 @@ query(
     f"SELECT * FROM dq WHERE check_name = '{quality.DUPLICATE_ZIPS}'",
 )(lambda m: quality.duplicate_zips(m.raw("geolocation")))
 
+query(
+    "gmv_reconciliation",
+    """
+    SELECT i.gmv::DOUBLE AS item_level_gmv, o.gmv::DOUBLE AS order_level_gmv,
+           (i.gmv - o.gmv)::DOUBLE AS difference_should_be_zero
+    FROM (SELECT sum(gmv) AS gmv FROM fact_order_items) AS i
+    CROSS JOIN (SELECT sum(item_gmv) AS gmv FROM fact_orders) AS o""",
+)(lambda m: contracts.gmv_reconciliation(m.fact_order_items, m.orders))
+
 query("contract_results", "SELECT * FROM contract_results")(Model.contract_results)
 query(
     "contract_summary",

@@ -38,14 +38,15 @@ class DriverTables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
-    def _read(self, name: str) -> DataFrame:
+    def table(self, name: str) -> DataFrame:
+        """One driver table as it is."""
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def raw(self, name: str) -> DataFrame:
         return getattr(self, name)()
 
     def orders(self) -> DataFrame:
-        placed = self._read("orders").withColumn("day", F.col("o_orderdate").cast("timestamp_ntz"))
+        placed = self.table("orders").withColumn("day", F.col("o_orderdate").cast("timestamp_ntz"))
         placed = placed.withColumn(
             "purchase", F.expr(_shift("day", "SECOND", "pmod(o_orderkey * 37, 86400)"))
         )
@@ -74,7 +75,7 @@ class DriverTables:
         )
 
     def order_items(self) -> DataFrame:
-        return self._read("lineitem").select(
+        return self.table("lineitem").select(
             _text("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("order_item_id"),
             _text("l_partkey").alias("product_id"),
@@ -87,7 +88,7 @@ class DriverTables:
         )
 
     def order_payments(self) -> DataFrame:
-        return self._read("lineitem").select(
+        return self.table("lineitem").select(
             _text("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("payment_sequential"),
             F.expr(
@@ -99,7 +100,7 @@ class DriverTables:
         )
 
     def order_reviews(self) -> DataFrame:
-        seen = self._read("events").withColumn("created", F.col("ts").cast("timestamp_ntz"))
+        seen = self.table("events").withColumn("created", F.col("ts").cast("timestamp_ntz"))
         return seen.select(
             _text("event_id").alias("review_id"),
             _text("event_id - pmod(event_id, 2)").alias("order_id"),
@@ -116,14 +117,14 @@ class DriverTables:
 
     def _places(self) -> DataFrame:
         return (
-            self._read("nation")
-            .join(self._read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            self.table("nation")
+            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
             .select("n_nationkey", "n_name", "r_name")
         )
 
     def customers(self) -> DataFrame:
         return (
-            self._read("customer")
+            self.table("customer")
             .join(self._places(), F.col("c_nationkey") == F.col("n_nationkey"))
             .select(
                 _text("c_custkey").alias("customer_id"),
@@ -135,7 +136,7 @@ class DriverTables:
         )
 
     def products(self) -> DataFrame:
-        return self._read("part").select(
+        return self.table("part").select(
             _text("p_partkey").alias("product_id"),
             F.col("p_type").alias("product_category_name"),
             F.length("p_name").alias("product_name_lenght"),
@@ -149,7 +150,7 @@ class DriverTables:
 
     def category_translation(self) -> DataFrame:
         return (
-            self._read("part")
+            self.table("part")
             .filter("p_type <> 'ECONOMY'")
             .select(F.col("p_type").alias("product_category_name"))
             .distinct()
@@ -158,7 +159,7 @@ class DriverTables:
 
     def sellers(self) -> DataFrame:
         return (
-            self._read("supplier")
+            self.table("supplier")
             .join(self._places(), F.col("s_nationkey") == F.col("n_nationkey"))
             .select(
                 _text("s_suppkey").alias("seller_id"),
@@ -169,12 +170,12 @@ class DriverTables:
         )
 
     def geolocation(self) -> DataFrame:
-        homes = self._read("customer").select(
+        homes = self.table("customer").select(
             F.col("c_nationkey").alias("nationkey"),
             F.col("c_acctbal").alias("acctbal"),
             F.col("c_mktsegment").alias("place"),
         )
-        depots = self._read("supplier").select(
+        depots = self.table("supplier").select(
             F.col("s_nationkey").alias("nationkey"),
             F.col("s_acctbal").alias("acctbal"),
             F.lit("depot").alias("place"),

@@ -49,12 +49,10 @@ class Layers:
     def materialize(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """Replace a table by ``df`` and return the stored table.
 
-        The rebalance hint lets Spark even out file sizes and split a partition that one hot key
-        has blown up.
+        No extra shuffle: adaptive execution already sizes the partitions of the last stage.
         """
         (
-            df.hint("rebalance")
-            .write.mode("overwrite")
+            df.write.mode("overwrite")
             .format("parquet")
             .option("path", self.path(layer, name))
             .saveAsTable(f"{self.database(layer)}.{name}")
