@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _tagged(col: str) -> Column:
-    return F.concat(F.lit("="), F.col(col).cast("string"))
+def _mirrored(col: str) -> Column:
+    return F.reverse(F.col(col).cast("string"))
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, how: str = "left") -> DataFrame:
@@ -15,9 +15,9 @@ def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, how: str =
 
     ``key`` may be as skewed as it likes. Spark splits a hot partition at run time only where both
     inputs of the join come straight from a shuffle for it; a table that was just de-duplicated or
-    aggregated on the key keeps that partitioning and gets none. Joining on the tagged key gives
-    each side its own shuffle, so a hot key is spread over many tasks. Small tables are broadcast
+    aggregated on the key keeps that partitioning and gets none. Joining on the mirrored key
+    gives each side its own shuffle, so a hot key is spread over many tasks. Small tables are broadcast
     by their measured size as usual.
     """
-    joined = df.join(table, _tagged(key) == _tagged(table_key), how)
+    joined = df.join(table, _mirrored(key) == _mirrored(table_key), how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(table_key)

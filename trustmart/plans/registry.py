@@ -622,11 +622,23 @@ query(
 # --- access ---------------------------------------------------------------------------------
 
 
-def model_over(spark: SparkSession, sf_dir: str) -> Model:
-    source = DriverTables(spark, sf_dir)
-    model = Model(source.raw)
-    model.source = source
-    return model
+class DriverModel(Model):
+    """The lazy model over one directory of driver tables."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.source = DriverTables(spark, sf_dir)
+        super().__init__(self.source.raw)
+
+
+_latest: list = []
+
+
+def model_over(spark: SparkSession, sf_dir: str) -> DriverModel:
+    """The model of a session and directory. The last one is kept, so that a series of queries
+    builds its shared plans once; it holds plans only, no data."""
+    if not _latest or _latest[0] is not spark or _latest[1] != sf_dir:
+        _latest[:] = [spark, sf_dir, DriverModel(spark, sf_dir)]
+    return _latest[2]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

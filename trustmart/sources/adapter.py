@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RAW_TABLES = (
     "orders",
@@ -23,6 +24,9 @@ RAW_TABLES = (
 )
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def _shift(ts: str, unit: str, amount: str) -> str:
     return f"timestampadd({unit}, cast({amount} as int), {ts})"
 
@@ -39,8 +43,11 @@ class DriverTables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        """One driver table as it is."""
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """One driver table as it is. Its schema is read from the file footers once per process."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def raw(self, name: str) -> DataFrame:
         return getattr(self, name)()
