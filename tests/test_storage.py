@@ -114,11 +114,16 @@ def test_publication(spark, tmp_path):
         "Fact Order Items product foreign key integrity"
     }
 
+    with pytest.raises(ValueError, match="released"):
+        publish(spark, raw_tables(spark).__getitem__, root, "run-1")
+
     fewer = [o for o in data.ORDERS if o[3] < "2018"]
     publish(spark, raw_tables(spark, orders=fewer).__getitem__, root, "run-3", land_raw=True)
     assert log.latest() == "run-3"
     assert spark.read.parquet(f"{root}/runs/run-3/raw/orders").count() == len(fewer)
     assert spark.table("vw_order_seller_performance").count() == 5
+    counted = spark.sql("SELECT count(*) FROM trustmart_marts.fact_orders")
+    assert counted.first()[0] == len(fewer)
     assert max(r.month_start for r in log.read_kpi("kpi_monthly").collect()) == date(2017, 12, 1)
 
 

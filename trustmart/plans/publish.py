@@ -20,6 +20,7 @@ def publish(
     run_id: str,
     csv_path: str | None = None,
     land_raw: bool = False,
+    prefix: str = "trustmart_",
 ) -> DataFrame:
     """Run everything under ``root/runs/<run_id>`` and release it; returns the contract results.
 
@@ -28,10 +29,13 @@ def publish(
     stay readable in the run's folder and readers keep the previous release. With ``csv_path`` the
     released reports are also exported as sorted CSV with a header. ``land_raw`` first stores the
     raw tables as Parquet too: worth it for CSV input, which would else be parsed once per reader,
-    and in one task where it is multi-line.
+    and in one task where it is multi-line. The run's tables are registered in the databases
+    ``<prefix>raw``, ``<prefix>staging`` and ``<prefix>marts``.
     """
     log = PublicationLog(spark, root)
-    layers = Layers(spark, log.run_path(run_id)).create()
+    if log.is_released(run_id):
+        raise ValueError(f"run {run_id} is released and cannot be written again")
+    layers = Layers(spark, log.run_path(run_id), prefix).create()
     if land_raw:
         landed = {name: layers.materialize(RAW, name, raw(name)) for name in RAW_COLUMNS}
         raw = landed.__getitem__

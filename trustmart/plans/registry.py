@@ -75,7 +75,7 @@ def csv_roundtrip(m: Model) -> DataFrame:
 def layer_roundtrip(m: Model) -> DataFrame:
     """A staging table replaced in its layer and read back from there."""
     spark = m.stg_orders.sparkSession
-    layers = Layers(spark, _run_folder(spark)).create([STAGING])
+    layers = Layers(spark, _run_folder(spark), "trustmart_check_").create([STAGING])
     return layers.materialize(STAGING, "stg_orders", m.stg_orders)
 
 

@@ -43,7 +43,10 @@ class Layers:
 
     def create(self, layers: Sequence[str] = (RAW, STAGING, MARTS, KPI)) -> Layers:
         for layer in layers:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)}")
+            location = f"{self.root.rstrip('/')}/{layer}"
+            self.spark.sql(
+                f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} LOCATION '{location}'"
+            )
         return self
 
     def materialize(self, layer: str, name: str, df: DataFrame) -> DataFrame:
@@ -111,15 +114,24 @@ class PublicationLog:
         )
         entry.write.mode("append").parquet(self.path)
 
-    def latest(self) -> str | None:
-        """Run id of the newest release; one row reaches the driver."""
+    def _entries(self) -> DataFrame | None:
         try:
-            log = self.spark.read.parquet(self.path)
+            return self.spark.read.parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return log.agg(F.max_by("run_id", "published_at").alias("run_id")).first()["run_id"]
+
+    def is_released(self, run_id: str) -> bool:
+        entries = self._entries()
+        return entries is not None and not entries.filter(F.col("run_id") == run_id).isEmpty()
+
+    def latest(self) -> str | None:
+        """Run id of the newest release; one row reaches the driver."""
+        entries = self._entries()
+        if entries is None:
+            return None
+        return entries.agg(F.max_by("run_id", "published_at").alias("run_id")).first()["run_id"]
 
     def read_kpi(self, name: str) -> DataFrame:
         """A KPI table of the newest released run."""
