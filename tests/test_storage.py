@@ -88,6 +88,13 @@ def test_shared_folder_follows_the_session(spark):
     assert shared_folder(Named(None)) == shared_folder(Named(None))
 
 
+def test_waves_hold_every_table():
+    from trustmart.plans.model import WAVES, Model
+
+    tables = {n for n in vars(Model) if n.startswith(("stg_", "dim_", "fact_"))}
+    assert sorted(t for wave in WAVES for t in wave) == sorted(tables)
+
+
 def test_publication(spark, tmp_path):
     root = str(tmp_path / "store")
     log = PublicationLog(spark, root)

@@ -27,6 +27,23 @@ def _table(layer: str):
     return wrap
 
 
+# Tables in building order; those of one wave do not need each other.
+WAVES = (
+    (
+        "stg_orders",
+        "stg_order_items",
+        "stg_order_payments",
+        "stg_order_reviews",
+        "stg_customers",
+        "stg_products",
+        "stg_sellers",
+        "stg_geolocation_zip",
+    ),
+    ("dim_geography", "dim_products", "dim_dates", "fact_order_items"),
+    ("dim_customers", "dim_sellers", "fact_orders"),
+)
+
+
 class Model:
     """All tables over one set of raw tables.
 

@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from trustmart.operators.contracts import gate, summarize
 from trustmart.operators.kpis import report_order
-from trustmart.plans.model import Model
-from trustmart.sources.layers import RAW, Layers, PublicationLog, export, require_single_row
+from trustmart.plans.model import WAVES, Model
+from trustmart.sources.layers import (
+    KPI,
+    RAW,
+    Layers,
+    PublicationLog,
+    export,
+    require_single_row,
+)
 from trustmart.sources.raw import RAW_COLUMNS, register
 
+# Independent tables are written by a few jobs at a time, so that a small one does not leave the
+# cluster waiting.
+JOBS_AT_ONCE = 4
+
+
+def _side_by_side(job: Callable[[str], object], names: Iterable[str]) -> None:
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        list(pool.map(job, names))
+
 
 def publish(
     spark: SparkSession,
@@ -37,21 +55,23 @@ def publish(
         raise ValueError(f"run {run_id} is released and cannot be written again")
     layers = Layers(spark, log.run_path(run_id), prefix).create()
     if land_raw:
-        landed = {name: layers.materialize(RAW, name, raw(name)) for name in RAW_COLUMNS}
-        raw = landed.__getitem__
+        source = raw
+        _side_by_side(lambda name: layers.materialize(RAW, name, source(name)), RAW_COLUMNS)
+        raw = partial(layers.read, RAW)
     model = Model(raw, keep=layers.materialize)
+    for wave in WAVES:
+        _side_by_side(lambda table: getattr(model, table), wave)
     register(model.order_seller_performance(), "vw_order_seller_performance")
 
     reports = model.reports()
-    for name, build in reports.items():
-        export(build(), layers.path("kpi", name))
+    _side_by_side(lambda name: export(reports[name](), layers.path(KPI, name)), reports)
 
     results_path = layers.path("contracts", "data_contract_test_results")
     summary_path = layers.path("contracts", "data_contract_test_summary")
     export(
         model.contract_results(
-            require_single_row(layers.read("kpi", "kpi_headline")),
-            layers.read("kpi", "kpi_monthly"),
+            require_single_row(layers.read(KPI, "kpi_headline")),
+            layers.read(KPI, "kpi_monthly"),
         ),
         results_path,
     )
@@ -60,9 +80,12 @@ def publish(
     gate(spark.read.parquet(summary_path))
 
     if csv_path:
-        for name in reports:
-            export(
-                layers.read("kpi", name), f"{csv_path.rstrip('/')}/{name}", "csv", report_order(name)
-            )
+        folder = csv_path.rstrip("/")
+        _side_by_side(
+            lambda name: export(
+                layers.read(KPI, name), f"{folder}/{name}", "csv", report_order(name)
+            ),
+            reports,
+        )
     log.release(run_id)
     return results
