@@ -8,6 +8,7 @@ operators take a cheaper route to the same rows.
 from __future__ import annotations
 
 import re
+from collections.abc import Collection
 
 TS = "'%Y-%m-%d %H:%M:%S'"
 
@@ -338,7 +339,7 @@ CTES: dict[str, str] = {
               FROM cohorts GROUP BY cohort_month) AS b ON b.cohort_month = a.cohort_month
         GROUP BY a.cohort_month, a.order_month""",
     "daily": """
-        SELECT date_day, count(o.order_id) AS n
+        SELECT date_day, count(o.order_purchase_ts) AS n
         FROM dim_dates LEFT JOIN stg_orders AS o ON o.order_purchase_ts::DATE = date_day
         GROUP BY date_day""",
 }
@@ -466,29 +467,33 @@ def _contract_rows() -> str:
 CTES["contract_results"] = _contract_rows()
 
 
-def statement(tail: str) -> str:
-    """``tail`` with the common table expressions it uses, directly or through others."""
+def statement(tail: str, given: Collection[str] = ()) -> str:
+    """``tail`` with the common table expressions it uses, directly or through others.
+
+    ``given`` names expressions that exist as tables already and are left out.
+    """
+    ctes = {name: sql for name, sql in CTES.items() if name not in given}
     needed: set[str] = set()
     pending = [tail]
     while pending:
         words = set(re.findall(r"\w+", pending.pop()))
-        for name in words & CTES.keys() - needed:
+        for name in words & ctes.keys() - needed:
             needed.add(name)
-            pending.append(CTES[name])
+            pending.append(ctes[name])
     # A table expression may only use the ones before it.
     order: list[str] = []
 
     def place(name: str) -> None:
         if name in order:
             return
-        for other in re.findall(r"\w+", CTES[name]):
-            if other in CTES and other != name:
+        for other in re.findall(r"\w+", ctes[name]):
+            if other in ctes and other != name:
                 place(other)
         order.append(name)
 
-    for name in CTES:
+    for name in ctes:
         if name in needed:
             place(name)
     if not order:
         return tail
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + tail
+    return "WITH " + ",\n".join(f"{n} AS ({ctes[n]})" for n in order) + "\n" + tail

@@ -308,7 +308,7 @@ _SELLER_RISK_SQL = """
     SELECT p.seller_id, s.seller_state, count(*) AS orders_all,
            count(*) FILTER (earning) AS orders_revenue_eligible,
            coalesce(sum(order_gmv) FILTER (earning), 0)::DOUBLE AS gmv_revenue_eligible,
-           sum(order_gmv) FILTER (earning)::DOUBLE / count(*) FILTER (earning)
+           sum(order_gmv) FILTER (earning)::DOUBLE / count(order_gmv) FILTER (earning)
                AS avg_order_gmv_revenue_eligible,
            avg(coalesce(is_on_time_delivery = 0, FALSE)::INTEGER) AS late_delivery_rate,
            avg(is_canceled_or_unavailable) AS cancellation_rate,
@@ -484,7 +484,8 @@ query(
     """
     SELECT count(*) AS total_customers, count(*) FILTER (n > 1) AS repeat_customers,
            count(*) FILTER (n > 1)::DOUBLE / count(*) AS repeat_customer_rate
-    FROM (SELECT customer_unique_id, count(*) AS n FROM fact_orders GROUP BY customer_unique_id)""",
+    FROM (SELECT customer_unique_id, count(*) AS n FROM fact_orders
+          WHERE customer_unique_id IS NOT NULL GROUP BY customer_unique_id)""",
 )(lambda m: monitors.repeat_rate(m.orders_of_people))
 
 query(
