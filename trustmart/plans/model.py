@@ -39,7 +39,7 @@ WAVES = (
         "stg_sellers",
         "stg_geolocation_zip",
     ),
-    ("dim_geography", "dim_products", "dim_dates", "fact_order_items"),
+    ("dim_geography", "dim_products", "dim_dates", "fact_order_items", "order_keys"),
     ("dim_customers", "dim_sellers", "fact_orders"),
 )
 
@@ -151,9 +151,9 @@ class Model:
         """Order facts; in a lazy model without the person and the order number."""
         return self.fact_orders if self.keep else self._bare_orders()
 
-    @cached_property
-    def order_keys(self) -> DataFrame:
-        """Who ordered when."""
+    @_table(STAGING)
+    def order_keys(self):
+        """Who ordered when. Numbering hot persons reads this several times, so it is stored."""
         return marts.order_keys(self.stg_orders, self.stg_customers)
 
     @cached_property
