@@ -111,6 +111,16 @@ class WordIds:
             self.memo = {"": b""}
 
 
+_CODERS: dict[str, WordIds] = {}
+
+
+def coder(path: str) -> WordIds:
+    """One for each Python worker, which runs many tasks and keeps the words it has learnt."""
+    if path not in _CODERS:
+        _CODERS[path] = WordIds(path)
+    return _CODERS[path]
+
+
 def binary_lengths(n: int, longest: int) -> Iterator[int]:
     """Powers of two that add up to ``n``, none above ``longest``, largest first."""
     yield from [longest] * (n // longest)
@@ -142,14 +152,13 @@ def pieces_of(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         part = context.partitionId() if context else 0
-        # A worker runs many tasks; it keeps what it has learnt.
-        coder = _CODERS.get(tokenizer_path) or _CODERS.setdefault(tokenizer_path, WordIds(tokenizer_path))
+        words = coder(tokenizer_path)
         end = end_id.to_bytes(4, "little")
         counts: dict[int, int] = {}
         for batch in batches:
             columns: dict[str, list] = {name: [] for name in arrow.names}
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc_id, ids in zip(doc_ids, coder.encode([t or "" for t in texts]), strict=True):
+            for doc_id, ids in zip(doc_ids, words.encode([t or "" for t in texts]), strict=True):
                 ids += end
                 whole, start = len(ids) // 4, 0
                 for length in binary_lengths(whole, max_length):
@@ -168,9 +177,6 @@ def pieces_of(
     return narrow.mapInArrow(run, schema)
 
 
-_CODERS: dict[str, WordIds] = {}
-
-
 def pack(
     docs: DataFrame,
     tokenizer_path: str,

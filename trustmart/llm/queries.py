@@ -17,6 +17,8 @@ from trustmart.llm import (
     packing,
     quality,
     sql,
+    surrogates,
+    token_rollup,
 )
 from trustmart.llm.common import crc_remainder, table
 
@@ -41,6 +43,16 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rollup.corpus_totals(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The key of these queries; a user of the operator brings a secret one.
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replaced(docs, b"key of the registered query").withColumnRenamed("__replaced", "n_replaced")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -78,6 +90,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
+    "op3_token_counts": op3_token_counts,
+    "op4_pii": op4_pii,
     "op5_packing": op5_packing,
     "op6_ann": op6_ann,
     "op7_ngram_join": op7_ngram_join,

@@ -37,14 +37,16 @@ WITH RECURSIVE docs AS (
     '[^\x20\x09-\x0D]+') AS w
   FROM documents
 ), shingled AS (
-  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
-    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]) END) AS s
+  -- Words hold no blank, so words put together with blanks are one shingle only.
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS t
   FROM docs
 ), sizes AS (
-  SELECT doc_id, len(s)::BIGINT AS n FROM shingled
+  SELECT docs.doc_id, count(t)::BIGINT AS n
+  FROM docs LEFT JOIN shingled ON docs.doc_id = shingled.doc_id GROUP BY docs.doc_id
 ), numbered AS (
-  SELECT doc_id, dense_rank() OVER (ORDER BY t) AS t
-  FROM (SELECT doc_id, unnest(s) AS t FROM shingled)
+  SELECT doc_id, t FROM shingled
 ), linked AS (
   SELECT x.doc_id AS a, y.doc_id AS b
   FROM numbered x JOIN numbered y ON x.t = y.t AND x.doc_id < y.doc_id
