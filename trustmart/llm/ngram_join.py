@@ -8,8 +8,9 @@ tokens the first token they share stands early in both: where ``i`` and ``j`` to
 1. equal sets become one class, known by its smallest document;
 2. under a first order, classes that share an early token are candidates; the order puts tokens that
    fill hot hash buckets last, so that a passage of many documents hardly ever leads;
-3. candidates must share early tokens under ``ORDERS - 1`` further orders, too;
-4. what is left is compared by its whole sets.
+3. a candidate's parity sketches must not differ in more places than a link allows;
+4. candidates must share early tokens under ``ORDERS - 1`` further orders, too, and differ in few;
+5. what is left is compared by its whole sets.
 
 Not all pairs of a token are emitted. Each token first links its documents to one of them (a star);
 what these links have joined is one component, and only pairs of different components that share a
@@ -36,8 +37,14 @@ from trustmart.llm.components import components
 
 #: Token orders: the first makes candidates, the others filter them.
 ORDERS = 3
+FURTHER = [f"p{i}" for i in range(1, ORDERS)]
+#: Numbers of 64 bits in a sketch.
+SKETCH = 8
+SKETCHES = [f"s{i}" for i in range(SKETCH)]
 #: Hash buckets in which the tokens of all documents are counted.
-BUCKET_BITS = 15
+BUCKET_BITS = 17
+#: Ids that may be sent to every task, 8 bytes each.
+SENT_IDS = 200_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -90,8 +97,7 @@ def sets_of(docs: DataFrame, size: int) -> DataFrame:
                 x = shingles(text or "", size)
                 full += np.bincount(x >> np.uint64(64 - BUCKET_BITS), minlength=len(full))
                 rows.append((doc_id, len(x), *identity(x), None, None))
-            columns = zip(*rows, strict=True) if rows else [[]] * len(names)
-            yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, columns), strict=True)), schema=schema)
+            yield _batch(rows, schema)
         at = np.flatnonzero(full)
         none = pa.nulls(len(at), pa.int64())
         yield pa.RecordBatch.from_arrays([none] * 4 + [pa.array(at), pa.array(full[at])], schema=schema)
@@ -118,20 +124,30 @@ def hot_levels(sets: DataFrame) -> np.ndarray:
 
 
 def in_order(x: np.ndarray, order: int, levels: np.ndarray, most: int) -> np.ndarray:
-    """The first ``most`` tokens of a set under a global order."""
+    """The ranks of the first ``most`` tokens of a set under a global order, ascending.
+
+    A rank holds the level of the token's bucket and 56 bits of its hash for this order.
+    """
     level = levels[(x >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
     rank = (mix(x + np.uint64(order * 7919 + 13)) >> np.uint64(8)) | (level << np.uint64(56))
     if most < len(x):
-        some = np.argpartition(rank, most)[:most]
-        return x[some[np.argsort(rank[some])]]
-    return x[np.argsort(rank)]
+        rank = np.partition(rank, most - 1)[:most]
+    return np.sort(rank)
+
+
+def sketch(x: np.ndarray) -> list[int]:
+    """Parities of the tokens over ``SKETCH`` times 64 places. Where two sketches differ, at least
+    one token is in only one of the sets, so their distance never exceeds that of the sets."""
+    place = (mix(x ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(32)) % np.uint64(64 * SKETCH)
+    odd = np.bincount(place.astype(np.int64), minlength=64 * SKETCH).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64).tolist()
 
 
 def prefixes(docs: DataFrame, size: int, threshold: int, levels: np.ndarray) -> DataFrame:
-    """(doc_id, f1, f2, n, p0, p1, ...): for each order the tokens that can be the first shared one."""
-    names = ["doc_id", "f1", "f2", "n", *[f"p{i}" for i in range(ORDERS)]]
-    kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * ORDERS
-    schema = pa.schema(list(zip(names, kinds, strict=True)))
+    """(doc_id, f1, f2, n, s0, s1, ..., first): sketch and, under the first order, the ranks of the
+    tokens that can be the first shared one."""
+    names = ["doc_id", "f1", "f2", "n", *SKETCHES]
+    schema = pa.schema([(name, pa.int64()) for name in names] + [("first", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,26 +156,39 @@ def prefixes(docs: DataFrame, size: int, threshold: int, levels: np.ndarray) ->
                 x = shingles(text or "", size)
                 if doc_id is None or not len(x):
                     continue
-                most = len(x) - -(-threshold * len(x) // 100) + 1
-                first = [_signed(in_order(x, i, levels, most)) for i in range(ORDERS)]
-                rows.append((doc_id, *identity(x), len(x), *first))
-            columns = zip(*rows, strict=True) if rows else [[]] * len(names)
-            yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, columns), strict=True)), schema=schema)
+                first = _signed(in_order(x, 0, levels, prefix_length(len(x), threshold)))
+                rows.append((doc_id, *identity(x), len(x), *sketch(x), first))
+            yield _batch(rows, schema)
+
+    return _narrow(docs).mapInArrow(run, ", ".join(f"{n} bigint" for n in names) + ", first array<bigint>")
 
-    ddl = "doc_id bigint, f1 bigint, f2 bigint, n bigint" + "".join(f", p{i} array<bigint>" for i in range(ORDERS))
-    return _narrow(docs).mapInArrow(run, ddl)
 
+def prefix_length(n: int, threshold: int) -> int:
+    return n - -(-threshold * n // 100) + 1
 
-def whole_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(node, tokens) of each document."""
-    schema = pa.schema([("node", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_pydict(dict(zip(schema.names, map(list, columns), strict=True)), schema=schema)
+
+
+def whole_sets(docs: DataFrame, size: int, threshold: int, levels: np.ndarray) -> DataFrame:
+    """(node, tokens, p1, p2, ...) of each document: all its tokens, and the ranks of the first ones
+    under each further order."""
+    names = ["tokens", *FURTHER]
+    schema = pa.schema([("node", pa.int64())] + [(name, pa.list_(pa.int64())) for name in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [_signed(shingles(t or "", size)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], schema=schema)
+            rows = []
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x = shingles(text or "", size)
+                most = prefix_length(len(x), threshold)
+                first = [_signed(in_order(x, i, levels, most)) for i in range(1, ORDERS)]
+                rows.append((node, _signed(x), *first))
+            yield _batch(rows, schema)
 
-    return _narrow(docs).mapInArrow(run, "node bigint, tokens array<bigint>")
+    return _narrow(docs).mapInArrow(run, "node bigint" + "".join(f", {n} array<bigint>" for n in names))
 
 
 def _early(i: str, j: str, n: str, m: str, t: int) -> str:
@@ -170,23 +199,58 @@ def _early(i: str, j: str, n: str, m: str, t: int) -> str:
     )
 
 
-def _filtered(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share early tokens under the further orders as well."""
-    kept = [f"p{i}" for i in range(1, ORDERS)]
-    side = lambda name: nodes.select(F.col("node").alias(name), *[F.col(p).alias(f"{p}{name}") for p in kept])
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    for p in kept:
-        both = both.filter(F.arrays_overlap(f"{p}a", f"{p}b"))
-    return both.select("a", "b")
+def _only(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose key is among the ids ``node`` of a written table; up to ``SENT_IDS`` of them are
+    sent to every task, so that nothing else is shuffled."""
+    if wanted.count() <= SENT_IDS:
+        wanted = F.broadcast(wanted)
+    return rows.join(wanted, F.col(key) == F.col("node"), "left_semi")
+
+
+def _nodes_of(pairs: DataFrame) -> DataFrame:
+    return stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "pair-nodes")
+
+
+def _both(pairs: DataFrame, sides: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the columns of their two nodes as structs x and y."""
+    columns = F.struct(*[c for c in sides.columns if c != "node"])
+    for name, at in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(sides.select(F.col("node").alias(name), columns.alias(at)), name)
+    return pairs
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs whose whole sets are alike enough."""
-    side = lambda name: sets.select(F.col("node").alias(name), F.col("tokens").alias(f"t{name}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    shared = F.size(F.array_intersect("ta", "tb"))
-    union = F.size("ta") + F.size("tb") - shared
-    return both.filter(100 * shared >= threshold * union).select("a", "b").distinct()
+def _near(x: str, y: str, threshold: int) -> str:
+    """Whether the sketches of two nodes leave room for a link."""
+    apart = " + ".join(f"bit_count({x}.{s} ^ {y}.{s})" for s in SKETCHES)
+    return f"({apart}) * {100 + threshold} <= ({x}.n + {y}.n) * {100 - threshold}"
+
+
+def _verified(
+    pairs: DataFrame, docs: DataFrame, size: int, threshold: int, levels: np.ndarray
+) -> DataFrame:
+    """Pairs (a, b) of a written table that pass the further orders and are alike as whole sets.
+
+    Up to the smaller of two last ranks both prefixes are complete, so the tokens that only one of
+    them has up to there are tokens that only one of the sets has.
+    """
+    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    texts = _only(narrow, "doc_id", _nodes_of(pairs))
+    sets = stored(whole_sets(texts, size, threshold, levels), "whole-sets")
+    both = _both(pairs, sets.select("node", F.size("tokens").alias("n"), *FURTHER))
+    for name in FURTHER:
+        p, q = F.col(f"x.{name}"), F.col(f"y.{name}")
+        last = F.least(F.element_at(p, -1), F.element_at(q, -1))
+        p, q = F.filter(p, lambda r: r <= last), F.filter(q, lambda r: r <= last)
+        common = F.size(F.array_intersect(p, q))
+        apart = F.size(p) + F.size(q) - 2 * common
+        room = apart * (100 + threshold) <= (F.col("x.n") + F.col("y.n")) * (100 - threshold)
+        both = both.filter((common > 0) & room)
+    # Whole sets move for what is left only.
+    both = _both(stored(both.select("a", "b"), "candidates"), sets.select("node", "tokens"))
+    x, y = F.col("x.tokens"), F.col("y.tokens")
+    shared = F.size(F.array_intersect(x, y))
+    alike = 100 * shared >= threshold * (F.size(x) + F.size(y) - shared)
+    return both.filter(alike).select("a", "b").distinct()
 
 
 def linked(docs: DataFrame, size: int = 3, threshold: int = 90) -> DataFrame:
@@ -199,12 +263,14 @@ def linked(docs: DataFrame, size: int = 3, threshold: int = 90) -> DataFrame:
         rows.filter("n > 0 and doc_id is not null").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("node")),
         "classes",
     )
-    firsts = prefixes(docs, size, threshold, hot_levels(sets)).withColumnRenamed("doc_id", "node")
+    levels = hot_levels(sets)
+    firsts = prefixes(docs, size, threshold, levels).withColumnRenamed("doc_id", "node")
     nodes = stored(firsts.join(classes, ["node", "f1", "f2", "n"], "left_semi"), "nodes")
+    sketches = nodes.select("node", "n", *SKETCHES)
 
     # Candidates under the first order. A token is of use if one of its documents has it early.
     heavy = F.col("i") * (100 + threshold) > F.col("n") * (100 - threshold)
-    postings = nodes.select("node", "n", F.posexplode("p0").alias("i", "token")).withColumn("heavy", heavy)
+    postings = nodes.select("node", "n", F.posexplode("first").alias("i", "token")).withColumn("heavy", heavy)
     centres = (
         postings.groupBy("token")
         .agg(F.count("*").alias("found"), F.min(F.struct("heavy", "node", "n", "i")).alias("c"))
@@ -217,11 +283,11 @@ def linked(docs: DataFrame, size: int = 3, threshold: int = 90) -> DataFrame:
         return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
     stars = shared.filter("node <> c").filter(_early("i", "ci", "n", "cn", threshold))
-    stars = stored(_filtered(stars.select(*pairs_of("node", "c")).distinct(), nodes), "stars")
-    alive = shared.select("node").distinct()
-    texts = docs.select("doc_id", "text").join(alive.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    alike = stored(whole_sets(texts, size), "alive")
-    links = stored(_verified(stars, alike, threshold), "star-links")
+    stars = stored(stars.select(*pairs_of("node", "c")).distinct(), "star-pairs")
+    some = _only(sketches.withColumnRenamed("node", "id"), "id", _nodes_of(stars))
+    stars = _both(stars, some.withColumnRenamed("id", "node")).filter(_near("x", "y", threshold))
+    stars = stored(stars.select("a", "b"), "stars")
+    links = stored(_verified(stars, docs, size, threshold, levels), "star-links")
     joined = stored(components(links), "joined")
 
     # Tokens whose documents are not in one component yet.
@@ -230,15 +296,17 @@ def linked(docs: DataFrame, size: int = 3, threshold: int = 90) -> DataFrame:
     places = stored(places, "places")
     mixed = places.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     places = places.join(mixed.filter("x < y").select("token"), "token", "left_semi")
+    places = stored(places.join(sketches.drop("n"), "node"), "mixed")
     left, right = places.filter("not heavy").alias("l"), places.alias("r")
     rest = left.join(
         right,
         (F.col("l.token") == F.col("r.token"))
         & (F.col("l.component") != F.col("r.component"))
-        & F.expr(_early("l.i", "r.i", "l.n", "r.n", threshold)),
+        & F.expr(_early("l.i", "r.i", "l.n", "r.n", threshold))
+        & F.expr(_near("l", "r", threshold)),
     )
     rest = rest.select(*pairs_of("l.node", "r.node")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = stored(_verified(_filtered(rest, nodes), alike, threshold), "more-links")
+    more = stored(_verified(stored(rest, "rest"), docs, size, threshold, levels), "more-links")
     final = stored(components(links.unionByName(more)), "final")
 
     labels = classes.join(final, "node", "left").select("f1", "f2", "n", component)
