@@ -308,7 +308,7 @@ def test_quality_tells_marks_from_prose(spark, odd, empty):
 def test_quality_gradients_are_right():
     rng = np.random.default_rng(0)
     model = quality.new_model()
-    model.weights = {k: (v + 0.1 * rng.normal(size=v.shape)).astype(np.float64) for k, v in model.weights.items()}
+    model.weights = {k: np.array(v + 0.1 * rng.normal(size=v.shape), dtype=np.float64) for k, v in model.weights.items()}
     x, starts, y = rng.normal(size=(9, quality.FEATURES)) / 10, np.array([0, 2, 5]), np.array([1.0, 0.0, 1.0])
 
     def loss():

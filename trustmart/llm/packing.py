@@ -17,10 +17,12 @@ empty table gives no sequence; columns other than ``doc_id`` and ``text`` are no
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -44,6 +46,8 @@ class WordIds:
     """
 
     def __init__(self, path: str):
+        # Spark runs one task a core; more threads would only take turns.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -51,7 +55,8 @@ class WordIds:
         suffix = model.get("end_of_word_suffix")
         if not suffix:
             raise ValueError("the tokenizer must mark the ends of words")
-        self.ends = {i for token, i in model["vocab"].items() if token.endswith(suffix)}
+        self.is_end = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.is_end[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
         self.memo: dict[str, bytes] = {"": b""}
 
     def _alone(self, chunk: str) -> bytes:
@@ -64,17 +69,17 @@ class WordIds:
         parts = {c: m.groups() for c in chunks if (m := LETTERS_AND_MARKS.fullmatch(c))}
         new = {core.lower() for core, _ in parts.values()}
         new = [w for w in new if w not in memo]
-        for at in range(0, len(new), 100):
-            some = new[at : at + 100]
-            ids = self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids
-            found, begin = [], 0
-            for i, x in enumerate(ids, 1):
-                if x in self.ends:
-                    found.append(ids[begin:i])
-                    begin = i
-            if len(found) == len(some) and begin == len(ids):
-                for word, own in zip(some, found, strict=True):
-                    memo[word] = b"".join(i.to_bytes(4, "little") for i in own)
+        groups = [new[at : at + 100] for at in range(0, len(new), 100)]
+        encoded = self.tokenizer.encode_batch_fast(
+            [" ".join(some) for some in groups], add_special_tokens=False
+        )
+        for some, encoding in zip(groups, encoded, strict=True):
+            ids = np.array(encoding.ids, dtype="<u4")
+            ends = (4 * np.flatnonzero(self.is_end[ids]) + 4).tolist()
+            if len(ends) == len(some) and ends[-1] == 4 * len(ids):
+                data = ids.tobytes()
+                for word, begin, end in zip(some, [0, *ends[:-1]], ends, strict=True):
+                    memo[word] = data[begin:end]
             else:
                 memo.update((word, self._alone(word)) for word in some)
         for chunk in chunks:
