@@ -116,6 +116,7 @@ def test_publication(spark, tmp_path):
     with pytest.raises(PublicationBlocked):
         publish(spark, broken.__getitem__, root, "run-2")
     assert log.latest() == "run-1"
+    assert spark.table("trustmart_marts.dim_products").count() == len(data.PRODUCTS)
     verdicts = spark.read.parquet(f"{root}/runs/run-2/contracts/data_contract_test_results")
     assert {r.test_name for r in verdicts.filter("status = 'FAIL' AND severity = 'critical'").collect()} == {
         "Fact Order Items product foreign key integrity"
@@ -138,3 +139,13 @@ def test_nothing_published_yet(spark, tmp_path):
     log = PublicationLog(spark, str(tmp_path))
     with pytest.raises(LookupError):
         log.read_kpi("kpi_monthly")
+
+
+@pytest.mark.parametrize("row", ["s1,01001,sao paulo,SP,extra", "s1,01001,sao paulo"])
+def test_malformed_csv_rows_fail(spark, tmp_path, row):
+    (tmp_path / "sellers.csv").write_text(
+        f"seller_id,seller_zip_code_prefix,seller_city,seller_state\ns0,01000,x,SP\n{row}\n"
+    )
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ|FAILFAST"):
+        read_raw(spark, str(tmp_path), "sellers").select("seller_id").collect()
+    assert read_raw(spark, str(tmp_path), "sellers", on_bad="PERMISSIVE").count() == 2

@@ -244,11 +244,11 @@ class Model:
         return kpis.row_counts(
             {
                 **{f"raw.{name}": self.raw(name) for name in raw},
-                "marts.fact_orders": self.orders,
+                "marts.fact_orders": self.fact_orders,
                 "marts.fact_order_items": self.fact_order_items,
-                "marts.dim_customers": self.customers,
-                "marts.dim_products": self.products,
-                "marts.dim_sellers": self.sellers,
+                "marts.dim_customers": self.dim_customers,
+                "marts.dim_products": self.dim_products,
+                "marts.dim_sellers": self.dim_sellers,
                 "marts.dim_dates": self.dim_dates,
                 "kpi.seller_concentration": self.seller_concentration(),
                 "kpi.weekly_ops": self.weekly(),
@@ -261,10 +261,10 @@ class Model:
     ) -> DataFrame:
         """Contract results; pass the written KPI tables to test what will be published."""
         observations = contracts.observe(
-            self.orders,
+            self.fact_orders,
             self.fact_order_items,
-            self.customers,
-            self.products,
+            self.dim_customers,
+            self.dim_products,
             headline if headline is not None else self.headline(),
             monthly if monthly is not None else self.monthly(),
         )

@@ -44,7 +44,8 @@ def publish(
 
     Staging, marts and reports are written as Parquet inside the run's own folder. The contracts
     then read the written reports. A critical failure raises ``PublicationBlocked``: the results
-    stay readable in the run's folder and readers keep the previous release. With ``csv_path`` the
+    stay readable in the run's folder and readers keep the previous release, in the catalogue, the
+    view and the CSV files too: these change after the gate only. With ``csv_path`` the
     released reports are also exported as sorted CSV with a header. ``land_raw`` first stores the
     raw tables as Parquet too: worth it for CSV input, which would else be parsed once per reader,
     and in one task where it is multi-line. The run's tables are registered in the databases
@@ -54,14 +55,19 @@ def publish(
     if log.is_released(run_id):
         raise ValueError(f"run {run_id} is released and cannot be written again")
     layers = Layers(spark, log.run_path(run_id), prefix).create()
+    kept: list[tuple[str, str]] = []
+
+    def keep(layer: str, name: str, df: DataFrame) -> DataFrame:
+        kept.append((layer, name))
+        return layers.write(layer, name, df)
+
     if land_raw:
         source = raw
-        _side_by_side(lambda name: layers.materialize(RAW, name, source(name)), RAW_COLUMNS)
+        _side_by_side(lambda name: keep(RAW, name, source(name)), RAW_COLUMNS)
         raw = partial(layers.read, RAW)
-    model = Model(raw, keep=layers.materialize)
+    model = Model(raw, keep=keep)
     for wave in WAVES:
         _side_by_side(lambda table: getattr(model, table), wave)
-    register(model.order_seller_performance(), "vw_order_seller_performance")
 
     reports = model.reports()
     _side_by_side(lambda name: export(reports[name](), layers.path(KPI, name)), reports)
@@ -79,6 +85,11 @@ def publish(
     export(summarize(results), summary_path)
     gate(spark.read.parquet(summary_path))
 
+    # Nothing of this run is to be seen before here.
+    for layer, name in kept:
+        layers.register(layer, name)
+    register(model.order_seller_performance(), "vw_order_seller_performance")
+    log.release(run_id)
     if csv_path:
         folder = csv_path.rstrip("/")
         _side_by_side(
@@ -87,5 +98,4 @@ def publish(
             ),
             reports,
         )
-    log.release(run_id)
     return results

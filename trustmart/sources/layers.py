@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -22,9 +23,13 @@ def _local_folder() -> str:
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor sees: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only where nothing is named, as in tests, it is a local folder.
+    Only where nothing is named and driver and executors are one process, as in tests, it is a local
+    folder.
     """
-    return (spark.conf.get("spark.checkpoint.dir", None) or _local_folder()).rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return (named or _local_folder()).rstrip("/")
 
 
 @dataclass(frozen=True)
@@ -50,18 +55,26 @@ class Layers:
         return self
 
     def materialize(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        """Replace a table by ``df`` and return the stored table.
+        """Replace a table by ``df``, name it in the catalogue and return the stored table."""
+        stored = self.write(layer, name, df)
+        self.register(layer, name)
+        return stored
+
+    def write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        """Replace the files of a table by ``df``; the catalogue stays as it is.
 
         No extra shuffle: adaptive execution already sizes the partitions of the last stage.
         """
-        (
-            df.write.mode("overwrite")
-            .format("parquet")
-            .option("path", self.path(layer, name))
-            .saveAsTable(f"{self.database(layer)}.{name}")
-        )
+        df.write.mode("overwrite").parquet(self.path(layer, name))
         return self.read(layer, name)
 
+    def register(self, layer: str, name: str) -> None:
+        """Let the table's name in the catalogue stand for the files of this root."""
+        table = f"{self.database(layer)}.{name}"
+        # An external table: dropping the name leaves the files of the former run alone.
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.spark.catalog.createTable(table, path=self.path(layer, name), source="parquet")
+
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
 

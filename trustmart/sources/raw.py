@@ -83,11 +83,15 @@ def read_raw(
     table: str,
     file_name: str = "{table}.csv",
     multi_line: Collection[str] = MULTI_LINE_TABLES,
+    on_bad: str = "FAILFAST",
 ) -> DataFrame:
     """One raw table, every column as text, matched by header name.
 
     Nothing is inferred, so identifiers and zip prefixes keep their leading zeros. ``file_name`` is
-    a pattern with ``{table}``; it may name a directory or a glob of many files.
+    a pattern with ``{table}``; it may name a directory or a glob of many files, which is better for
+    multi-line tables, whose files are one task each. A row with too many or too few cells fails the
+    read, whichever columns are used, and so does a line break in quotes outside the multi-line
+    tables; ``on_bad`` may name another mode of Spark's.
     """
     if table not in RAW_COLUMNS:
         raise ValueError(f"unknown raw table: {table}")
@@ -97,6 +101,9 @@ def read_raw(
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", table in multi_line)
+        .option("mode", on_bad)
+        # All cells of a row are looked at, also those that nobody reads.
+        .option("columnPruning", False)
         .csv(f"{directory.rstrip('/')}/{file_name.format(table=table)}")
         .select(*RAW_COLUMNS[table])
     )
