@@ -8,7 +8,8 @@ tokens the first token they share stands early in both: where ``i`` and ``j`` to
 1. equal sets become one class, known by its smallest document;
 2. under a first order, classes that share an early token are candidates; the order puts tokens that
    fill hot hash buckets last, so that a passage of many documents hardly ever leads;
-3. a candidate's parity sketches must not differ in more places than a link allows;
+3. a candidate's parity sketches must not differ in more places than a link allows, first in small
+   sketches of equal length, then in sketches that are as long as their sets are large;
 4. candidates must share early tokens under ``ORDERS - 1`` further orders, too, and differ in few;
 5. what is left is compared by its whole sets.
 
@@ -143,6 +144,15 @@ def sketch(x: np.ndarray) -> list[int]:
     return np.packbits(odd).view(np.int64).tolist()
 
 
+def long_sketch(x: np.ndarray) -> np.ndarray:
+    """Parities of the tokens over a power of two of places, between half and all of their number,
+    but 64 at least. Its halves, one over the other, are the sketch over half as many places."""
+    places = max(64, (1 << (len(x) - 1).bit_length()) // 2)
+    place = (mix(x ^ np.uint64(0x9FB21C651E98DF25)) >> np.uint64(16)) & np.uint64(places - 1)
+    odd = np.bincount(place.astype(np.int64), minlength=places).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def prefixes(docs: DataFrame, size: int, threshold: int, levels: np.ndarray) -> DataFrame:
     """(doc_id, f1, f2, n, s0, s1, ..., first): sketch and, under the first order, the ranks of the
     tokens that can be the first shared one."""
@@ -172,6 +182,22 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(dict(zip(schema.names, map(list, columns), strict=True)), schema=schema)
 
 
+def long_sketches(docs: DataFrame, size: int) -> DataFrame:
+    """(node, n, parities) of each document: its number of tokens and its long sketch."""
+    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("parities", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x = shingles(text or "", size)
+                if len(x):
+                    rows.append((node, len(x), long_sketch(x)))
+            yield _batch(rows, schema)
+
+    return _narrow(docs).mapInArrow(run, "node bigint, n bigint, parities array<bigint>")
+
+
 def whole_sets(docs: DataFrame, size: int, threshold: int, levels: np.ndarray) -> DataFrame:
     """(node, tokens, p1, p2, ...) of each document: all its tokens, and the ranks of the first ones
     under each further order."""
@@ -225,16 +251,34 @@ def _near(x: str, y: str, threshold: int) -> str:
     return f"({apart}) * {100 + threshold} <= ({x}.n + {y}.n) * {100 - threshold}"
 
 
+def _folded(x: str, y: str) -> str:
+    """The long sketch of x over as many places as that of y, if it has more."""
+    turned = f"aggregate(sequence(k, size({x}) - 1, size({y})), 0L, (s, j) -> s ^ {x}[j])"
+    return f"if(size({x}) <= size({y}), {x}, transform(sequence(0, size({y}) - 1), k -> {turned}))"
+
+
+def _near_in_full(threshold: int) -> str:
+    """Whether the long sketches of x and y leave room for a link."""
+    x, y = _folded("x.parities", "y.parities"), _folded("y.parities", "x.parities")
+    apart = f"aggregate(zip_with({x}, {y}, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)"
+    return f"{apart} * {100 + threshold}L <= (x.n + y.n) * {100 - threshold}"
+
+
 def _verified(
     pairs: DataFrame, docs: DataFrame, size: int, threshold: int, levels: np.ndarray
 ) -> DataFrame:
-    """Pairs (a, b) of a written table that pass the further orders and are alike as whole sets.
+    """Pairs (a, b) of a written table that pass the long sketches and the further orders and are
+    alike as whole sets. Ranks and sets are worked out for the documents of near sketches only.
 
     Up to the smaller of two last ranks both prefixes are complete, so the tokens that only one of
     them has up to there are tokens that only one of the sets has.
     """
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     texts = _only(narrow, "doc_id", _nodes_of(pairs))
+    sketches = stored(long_sketches(texts, size), "long-sketches")
+    near = _both(pairs, sketches).filter(_near_in_full(threshold))
+    pairs = stored(near.select("a", "b").distinct(), "near-pairs")
+    texts = _only(narrow, "doc_id", _nodes_of(pairs))
     sets = stored(whole_sets(texts, size, threshold, levels), "whole-sets")
     both = _both(pairs, sets.select("node", F.size("tokens").alias("n"), *FURTHER))
     for name in FURTHER:
