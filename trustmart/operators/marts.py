@@ -7,7 +7,7 @@ carry no broadcast hint: dimensions grow with the data, so Spark decides by thei
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -210,16 +210,15 @@ def order_keys(stg_orders: DataFrame, stg_customers: DataFrame) -> DataFrame:
     return lookup(orders, people, "customer_id", "__customer")
 
 
-def number_orders(keys: DataFrame, rows: int, threshold: int | None = None) -> DataFrame:
-    """Numbers the orders of each person in time; ``rows`` is an upper bound of their number."""
+def number_orders(keys: DataFrame, store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Numbers the orders of each person in time; ``store`` writes the sorted keys and reads them back."""
     return sequence_within(
-        keys,
+        keys.select("order_id", "customer_unique_id", "order_purchase_ts"),
         "customer_unique_id",
         "order_purchase_ts",
         "order_id",
         "customer_order_sequence",
-        rows,
-        threshold,
+        store,
     ).select("order_id", "customer_unique_id", "customer_order_sequence")
 
 
@@ -251,18 +250,23 @@ FACT_ORDERS_COLUMNS = (
 )
 
 
-def fact_orders(facts: DataFrame, numbered: DataFrame, null_ids: bool = False) -> DataFrame:
+def fact_orders(facts: DataFrame, numbered: DataFrame) -> DataFrame:
     """One row per order: roll-ups, flags, person and the person's order number.
 
     Persons and numbers are worked out on narrow rows (``number_orders``) and come back by order
     id, the key the wide facts are partitioned by already: the facts themselves are never shuffled
-    by customer. Pass ``null_ids`` if an order without id exists; matching it needs a null-safe
-    join, which costs the facts a shuffle.
+    by customer. After de-duplication one order at most has no id; what is known of it comes back
+    as a frame of one row.
     """
     people = numbered.withColumnRenamed("order_id", "__order")
-    ours, theirs = F.col("order_id"), F.col("__order")
-    same = ours.eqNullSafe(theirs) if null_ids else ours == theirs
-    return facts.join(people, same, "left").select(*FACT_ORDERS_COLUMNS)
+    found = ("customer_unique_id", "customer_order_sequence")
+    nameless = numbered.filter("order_id is null").agg(*[F.max(c).alias(f"__{c}") for c in found])
+    return (
+        facts.join(people, F.col("order_id") == F.col("__order"), "left")
+        .crossJoin(F.broadcast(nameless))
+        .withColumns({c: F.when(F.col("order_id").isNull(), F.col(f"__{c}")).otherwise(F.col(c)) for c in found})
+        .select(*FACT_ORDERS_COLUMNS)
+    )
 
 
 def rollup_seller_orders(items: DataFrame) -> DataFrame:

@@ -2,108 +2,54 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with fewer rows than this is never worth splitting.
-HOT_MIN_ROWS = 1_000_000
-# Fewer than this many keys can ever count as hot, so the list of them is small enough to broadcast
-# whatever the data: the row threshold of ``hot_rows`` grows with the table.
-MAX_HOT_KEYS = 100_000
-
-
-def hot_rows(rows: int) -> int:
-    """Rows from which a key of a table with at most ``rows`` rows is hot."""
-    return max(HOT_MIN_ROWS, rows // MAX_HOT_KEYS)
-
-
-def hot_keys(df: DataFrame, key: Column, threshold: int) -> DataFrame:
-    """Keys with at least ``threshold`` rows, as one column ``hot_key``."""
-    counts = df.groupBy(key.alias("hot_key")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.filter(F.col("n") >= threshold).select("hot_key")
-
+from trustmart.operators.joins import lookup
 
 def sequence_within(
-    df: DataFrame,
-    key: str,
-    ts: str,
-    tie_break: str,
-    out: str,
-    rows: int,
-    threshold: int | None = None,
+    df: DataFrame, key: str, ts: str, tie_break: str, out: str, store: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
     """Running number of each row within ``key``, by ``ts`` (NULLS LAST), then ``tie_break``.
 
-    Equals ``row_number()`` per key, but a hot key (NULL included) is numbered in slots: one per
-    hour, a hot hour again by exact timestamp, a hot timestamp by leading characters of the
-    tie-break. Each slot is numbered alone and shifted by the rows in earlier slots of its key.
+    Equals ``row_number()`` per key (NULL is a key), whatever the size of the table or of a key. The
+    rows are dealt to tasks by ranges of (key, ts, tie_break), so no key, instant or common beginning
+    of ids fills one task. A row's place in the whole order is its place in its part plus the rows of
+    earlier parts; its number counts from the place of its key's first row.
 
-    ``rows`` is an upper bound of the number of rows; a table below the hot threshold gets a plain
-    window. ``threshold`` replaces the row count from which a key is hot. ``df`` is read once more
-    per counting pass, so hand in a narrow or stored frame.
+    ``store`` writes the sorted rows and returns the stored table: places must not be worked out
+    twice, since ranges are drawn from a sample. Hand in a narrow frame.
     """
-    threshold = threshold or hot_rows(rows)
     in_time = [F.col(ts).asc_nulls_last(), F.col(tie_break).asc_nulls_last()]
-    if rows < threshold:
-        window = Window.partitionBy(key).orderBy(*in_time)
-        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
-
-    stamp = F.col(ts).cast("string")
-    lead = F.substring(F.col(tie_break).cast("string"), 1, 4)
-    # Fixed-width texts (the last one aside), so that slots sort like (ts, tie_break).
-    levels = [
-        F.coalesce(F.substring(stamp, 1, 13), F.lit("~")),
-        F.coalesce(F.rpad(stamp, 26, "."), F.lit("~")),
-        F.coalesce(F.hex(lead), F.lit("~")),
-    ]
-    # Never NULL, and a NULL key cannot collide with any text.
-    tag = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("null"))
-
-    def tagged(frame: DataFrame) -> DataFrame:
-        return frame.withColumns({"__key": tag, "__slot": tag, "__split": F.lit(True)})
-
-    def refine(frame: DataFrame, hot: DataFrame, level: Column) -> DataFrame:
-        split = F.col("hot_key").isNotNull()
-        return (
-            frame.join(F.broadcast(hot), F.col("__slot") == F.col("hot_key"), "left")
-            .withColumns(
-                {
-                    "__slot": F.when(split, F.concat_ws("|", "__slot", level)).otherwise(
-                        F.col("__slot")
-                    ),
-                    "__split": split,
-                }
-            )
-            .drop("hot_key")
-        )
-
-    slotted = tagged(df)
-    for level in levels:
-        hot = hot_keys(slotted.filter("__split"), F.col("__slot"), threshold)
-        slotted = refine(slotted, hot, level)
-
-    earlier = (
-        Window.partitionBy("__key")
-        .orderBy("__slot")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    order = [F.col(key).asc_nulls_first(), *in_time]
+    # The upper bits of this id are the part, the lower 33 the place in it.
+    placed = store(
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("__id", F.monotonically_increasing_id())
+    ).withColumns(
+        {
+            "__part": F.shiftright("__id", 33),
+            "__place": F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)),
+            # Never NULL, and a NULL key cannot collide with any text.
+            "__key": F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("null")),
+        }
     )
-    shifts = (
-        slotted.filter(F.col("__slot") != F.col("__key"))
-        .groupBy("__key", "__slot")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            F.col("__slot").alias("__shift_slot"),
-            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__shift"),
-        )
+    # One row per part, so the window and the broadcast hold as many rows as the shuffle has partitions.
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.select(
+        F.col("__part").alias("__of"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before")
     )
-    in_slot = Window.partitionBy("__slot").orderBy(*in_time)
+    placed = placed.join(F.broadcast(parts), F.col("__part") == F.col("__of"))
+    placed = placed.withColumn("__place", F.col("__place") + F.col("__before"))
+    firsts = placed.groupBy(F.col("__key").alias("__first_key")).agg(F.min("__place").alias("__first"))
     return (
-        slotted.withColumn("__n", F.row_number().over(in_slot).cast("bigint"))
-        .join(shifts, F.col("__slot") == F.col("__shift_slot"), "left")
-        .withColumn(out, F.col("__n") + F.coalesce(F.col("__shift"), F.lit(0)))
-        .drop("__key", "__slot", "__split", "__n", "__shift_slot", "__shift")
+        lookup(placed, firsts, "__key", "__first_key", "inner")
+        .withColumn(out, F.col("__place") - F.col("__first") + 1)
+        .drop("__id", "__part", "__of", "__place", "__before", "__key", "__first")
     )
 
 

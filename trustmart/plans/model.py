@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustmart.operators import contracts, kpis, marts, quality, staging
-from trustmart.sources.layers import MARTS, STAGING
+from trustmart.sources.layers import MARTS, STAGING, written
 
 Keep = Callable[[str, str, DataFrame], DataFrame]
 
@@ -118,25 +118,17 @@ class Model:
 
     @_table(MARTS)
     def fact_orders(self):
-        rows, null_ids = self._order_bounds
-        numbered = marts.number_orders(self.order_keys, rows)
-        return marts.fact_orders(self._bare_orders(), numbered, null_ids)
+        return marts.fact_orders(self._bare_orders(), self._numbered())
+
+    def _numbered(self) -> DataFrame:
+        # A lazy model, too, writes these narrow rows: numbers follow from stored places.
+        return marts.number_orders(self.order_keys, lambda df: written(df, "order-places"))
 
     def _bare_orders(self) -> DataFrame:
         return marts.order_facts(
             self.stg_orders, self.order_lines, self.stg_order_payments, self.stg_order_reviews
         )
 
-    @cached_property
-    def _order_bounds(self) -> tuple[int, bool]:
-        """(upper bound of the number of orders, whether any has no id): one row, one column read.
-
-        A stored model asks its staging table, a lazy one the raw table it would be built from.
-        """
-        orders = self.stg_orders if self.keep else self.raw("orders")
-        row = orders.agg(F.count(F.lit(1)).alias("n"), F.count("order_id").alias("ids")).first()
-        return row["n"], row["n"] > row["ids"]
-
     # --- what the KPIs read ---
     # Over stored tables these are the marts themselves. In a lazy model they are the same rows
     # without the parts a KPI cannot need, so that nothing is computed only to be thrown away.
@@ -181,7 +173,7 @@ class Model:
             return self.fact_orders.select(
                 "order_id", "customer_unique_id", "customer_order_sequence"
             )
-        return marts.number_orders(self.order_keys, self._order_bounds[0])
+        return self._numbered()
 
     def order_seller_performance(self) -> DataFrame:
         return marts.order_seller_performance(self.order_lines, self.orders)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cache
@@ -32,6 +33,16 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or _local_folder()).rstrip("/")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new shared folder, which goes when the driver ends, and read back."""
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 @dataclass(frozen=True)
 class Layers:
     """Databases ``<prefix>raw``, ``<prefix>staging`` ... whose tables lie under one root folder."""
