@@ -21,3 +21,12 @@ def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, how: str =
     """
     joined = df.join(table, _mirrored(key) == _mirrored(table_key), how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(table_key)
+
+
+def with_orders(df: DataFrame, orders: DataFrame) -> DataFrame:
+    """Rows of ``df``, summed to a few per order, with the columns of their order.
+
+    ``orders`` is unique on ``__order``, which is dropped. On the plain key a table that is
+    partitioned by order already stays where it is.
+    """
+    return df.join(orders, F.col("order_id") == F.col("__order"), "inner").drop("__order")

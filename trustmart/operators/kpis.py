@@ -24,7 +24,7 @@ from trustmart.functions.metrics import (
     share_of_rows,
 )
 from trustmart.operators import ranking
-from trustmart.operators.joins import lookup
+from trustmart.operators.joins import lookup, with_orders
 from trustmart.operators.marts import order_seller_performance, rollup_seller_orders
 
 
@@ -131,7 +131,7 @@ def category_performance(items: DataFrame, facts: DataFrame, products: DataFrame
     lines = items.groupBy("order_id", "product_id").agg(
         F.sum("gmv").alias("gmv"), F.count("gmv").alias("priced_lines")
     )
-    sold = lookup(lines, _eligible(facts), "order_id", "__order", "inner")
+    sold = with_orders(lines, _eligible(facts))
     return (
         item_categories(sold, products)
         .groupBy("category")
@@ -176,7 +176,7 @@ def seller_risk(
         "is_canceled_or_unavailable",
         "avg_review_score",
     )
-    seller_orders = lookup(rollup_seller_orders(items), flags, "order_id", "__order", "inner")
+    seller_orders = with_orders(rollup_seller_orders(items), flags)
     profile = seller_orders.groupBy("seller_id").agg(
         F.count(F.lit(1)).alias("orders_all"),
         F.count(F.when(eligible, 1)).alias("orders_revenue_eligible"),
@@ -242,7 +242,7 @@ def seller_concentration(
     items: DataFrame, facts: DataFrame, ks: Sequence[int] = (5, 10, 50)
 ) -> DataFrame:
     """GMV and share of the leading sellers, eligible orders only."""
-    sold = lookup(rollup_seller_orders(items), _eligible(facts), "order_id", "__order", "inner")
+    sold = with_orders(rollup_seller_orders(items), _eligible(facts))
     return ranking.concentration(sold, "seller_id", "seller_gmv", ks)
 
 

@@ -19,7 +19,7 @@ from trustmart.functions.metrics import (
     is_excluded,
     on_time_flag,
 )
-from trustmart.operators.joins import lookup
+from trustmart.operators.joins import lookup, with_orders
 from trustmart.operators.ranking import sequence_within
 
 # --- dimensions -----------------------------------------------------------------------------
@@ -286,7 +286,7 @@ def order_seller_performance(items: DataFrame, orders: DataFrame) -> DataFrame:
         "order_status",
         F.col("order_purchase_ts").cast("date").alias("purchase_date"),
     )
-    return lookup(rollup_seller_orders(items), known, "order_id", "__order", "inner").select(
+    return with_orders(rollup_seller_orders(items), known).select(
         "seller_id",
         "order_id",
         "order_status",

@@ -18,7 +18,7 @@ from trustmart.functions.metrics import (
     ratio,
     share_of_rows,
 )
-from trustmart.operators.joins import lookup
+from trustmart.operators.joins import lookup, with_orders
 from trustmart.operators.kpis import item_categories, seller_concentration
 from trustmart.operators.marts import calendar
 
@@ -204,7 +204,7 @@ def category_reviews(items: DataFrame, facts: DataFrame, products: DataFrame) ->
     lines = items.select("order_id", "product_id").distinct()
     orders = item_categories(lines, products).select("order_id", "category").distinct()
     return (
-        lookup(orders, scores, "order_id", "__order", "inner")
+        with_orders(orders, scores)
         .groupBy("category")
         .agg(
             F.count(F.lit(1)).alias("orders"),
