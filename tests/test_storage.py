@@ -7,6 +7,7 @@ import pytest
 from tests import shop as data
 from tests.rows import bag, frame
 from tests.shop import raw_tables, shop
+from trustmart.operators import dashboard
 from trustmart.operators.contracts import PublicationBlocked
 from trustmart.plans.publish import publish
 from trustmart.sources.layers import (
@@ -106,6 +107,17 @@ def test_publication(spark, tmp_path):
     lines = sorted((tmp_path / "csv" / "kpi_monthly").glob("part-*"))
     text = "".join(p.read_text() for p in lines)
     assert text.startswith("month_start,total_orders")
+    files = {p.name for p in (tmp_path / "csv").iterdir()}
+    pages = dashboard.pages(log.read_kpi)
+    extra = {"data_contract_test_results", "data_contract_test_summary", "monitor_status"}
+    assert files == set(shop(spark).reports()) | extra | set(pages)
+    for name, build in pages.items():
+        assert bag(log.read("pages", name)) == bag(build()), name
+    status = {r.monitor: r.status for r in log.read("monitors", "monitor_status").collect()}
+    # The shop's newest order is years old.
+    assert set(status) == {"freshness", "volume_anomaly", "kpi_drift"} and status["freshness"] == "WARN"
+    failed = results.filter("status = 'FAIL'").count()
+    assert log.note("run-1") == f"{failed} of 17 data contracts failed without blocking"
 
     # Every stored report equals the one a lazy model computes.
     for name, build in shop(spark).reports().items():
@@ -126,8 +138,9 @@ def test_publication(spark, tmp_path):
         publish(spark, raw_tables(spark).__getitem__, root, "run-1")
 
     fewer = [o for o in data.ORDERS if o[3] < "2018"]
-    publish(spark, raw_tables(spark, orders=fewer).__getitem__, root, "run-3", land_raw=True)
+    publish(spark, raw_tables(spark, orders=fewer).__getitem__, root, "run-3", land_raw=True, note="2017 only")
     assert log.latest() == "run-3"
+    assert log.note("run-3") == "2017 only"
     assert spark.read.parquet(f"{root}/runs/run-3/raw/orders").count() == len(fewer)
     assert spark.table("vw_order_seller_performance").count() == 5
     counted = spark.sql("SELECT count(*) FROM trustmart_marts.fact_orders")

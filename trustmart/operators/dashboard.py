@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,8 +55,25 @@ def sort_findings(summary: DataFrame) -> DataFrame:
     return summary.orderBy(F.col("issue_rows").desc(), F.col("check_name"))
 
 
+def pages(kpi: Callable[[str], DataFrame]) -> dict[str, Callable[[], DataFrame]]:
+    """The data of every page element by name, from the published KPI tables that ``kpi`` reads."""
+    return {
+        "page1_cards": lambda: kpi_cards(kpi("kpi_headline")),
+        "page1_trend": lambda: trend(kpi("kpi_monthly")),
+        "page2_delay_spine": lambda: delay_spine(kpi("kpi_delay_vs_reviews")),
+        "page2_top_states_by_orders": lambda: top_states_by_orders(kpi("kpi_state_performance")),
+        "page3_top_categories": lambda: top_categories(kpi("kpi_category_performance")),
+        "page3_top_sellers": lambda: top_sellers(kpi("kpi_seller_performance")),
+        "page3_top_states_by_gmv": lambda: top_states_by_gmv(kpi("kpi_state_performance")),
+        "page3_payment_share": lambda: payment_share(kpi("kpi_payment_mix")),
+        "page4_findings": lambda: sort_findings(kpi("data_quality_summary")),
+        "page4_join_risk": lambda: join_risk_panel(kpi("kpi_join_risk_demo")),
+    }
+
+
 def kpi_cards(headline: DataFrame) -> DataFrame:
     """The four headline cards as display text."""
+    # Published titles and subtitles.
     millions = F.format_string("R$%.2fM", F.col("gmv_revenue_eligible") / 1_000_000)
     cards = [
         ("Primary GMV", millions, "Revenue-eligible orders only"),
@@ -86,6 +105,7 @@ def kpi_cards(headline: DataFrame) -> DataFrame:
 
 def join_risk_panel(join_risk: DataFrame) -> DataFrame:
     """The reliability notes of the data-quality page as display text."""
+    # Published labels.
     notes = [
         ("Naive join GMV", "naive_gmv"),
         ("Trusted GMV (all orders)", "trusted_gmv_all_orders"),

@@ -165,6 +165,34 @@ def orders_with_items(facts: DataFrame, items: DataFrame) -> DataFrame:
     return facts.join(items.select("order_id").distinct(), "order_id", "left_semi")
 
 
+def sliced_items(
+    items: DataFrame, products: DataFrame | None = None, sellers: DataFrame | None = None
+) -> DataFrame:
+    """Items of the given products and of the given sellers (category and seller-state slicers)."""
+    for chosen, key in ((products, "product_id"), (sellers, "seller_id")):
+        if chosen is not None:
+            wanted = chosen.select(F.col(key).alias("__chosen"))
+            items = lookup(items, wanted, key, "__chosen", "left_semi")
+    return items
+
+
+def monitor_status(fresh: DataFrame, volume: DataFrame, drift: DataFrame) -> DataFrame:
+    """One row per monitor: how many of its rows ask for a look, and OK or WARN."""
+
+    def row(name: str, df: DataFrame, wrong: Column) -> DataFrame:
+        return df.agg(F.count(F.when(wrong, 1)).alias("findings")).select(
+            F.lit(name).alias("monitor"),
+            "findings",
+            F.when(F.col("findings") == 0, "OK").otherwise("WARN").alias("status"),
+        )
+
+    return (
+        row("freshness", fresh, F.col("status") == "WARN")
+        .unionByName(row("volume_anomaly", volume, F.col("is_anomaly") == 1))
+        .unionByName(row("kpi_drift", drift, F.col("status") == "DRIFT"))
+    )
+
+
 def weekly_watch(facts: DataFrame) -> DataFrame:
     """Per ISO week: on-time rate, share of deliveries 4+ days late, cancellations, and the review
     score of each delay bucket."""

@@ -222,7 +222,12 @@ class Model:
             self.stg_orders, self.raw("orders"), self.raw("order_items"), self.raw("geolocation")
         )
 
-    def row_counts(self) -> DataFrame:
+    def row_counts(self, exported: Callable[[str], DataFrame] | None = None) -> DataFrame:
+        """Rows of every table; ``exported`` reads KPI tables that have been written already."""
+
+        def kpi(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+            return exported(name) if exported else build()
+
         raw = (
             "orders",
             "order_items",
@@ -242,9 +247,13 @@ class Model:
                 "marts.dim_products": self.dim_products,
                 "marts.dim_sellers": self.dim_sellers,
                 "marts.dim_dates": self.dim_dates,
-                "kpi.seller_concentration": self.seller_concentration(),
-                "kpi.weekly_ops": self.weekly(),
-                "kpi.customer_cohort_retention": self.cohort_retention(),
+                "kpi.seller_concentration": kpi(
+                    "kpi_seller_concentration", self.seller_concentration
+                ),
+                "kpi.weekly_ops": kpi("kpi_weekly_ops", self.weekly),
+                "kpi.customer_cohort_retention": kpi(
+                    "kpi_customer_cohort_retention", self.cohort_retention
+                ),
             }
         )
 

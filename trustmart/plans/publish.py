@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trustmart.operators.contracts import gate, summarize
+from trustmart.operators import dashboard, monitors
+from trustmart.operators.contracts import caveat, gate, summarize
 from trustmart.operators.kpis import report_order
 from trustmart.plans.model import WAVES, Model
 from trustmart.sources.layers import (
+    CONTRACTS,
     KPI,
+    MONITORS,
+    PAGES,
     RAW,
     Layers,
     PublicationLog,
@@ -24,9 +29,11 @@ from trustmart.sources.raw import RAW_COLUMNS, register
 # Independent tables are written by a few jobs at a time, so that a small one does not leave the
 # cluster waiting.
 JOBS_AT_ONCE = 4
+#: Bands that the monthly KPIs are expected to keep.
+BANDS = {"cancellation_rate": (0.0, 0.2), "on_time_delivery_rate": (0.8, 1.0)}
 
 
-def _side_by_side(job: Callable[[str], object], names: Iterable[str]) -> None:
+def _side_by_side(job: Callable[..., object], names: Iterable) -> None:
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
         list(pool.map(job, names))
 
@@ -39,9 +46,17 @@ def publish(
     csv_path: str | None = None,
     land_raw: bool = False,
     prefix: str = "trustmart_",
+    note: str | None = None,
+    as_of: date | None = None,
+    bands: Mapping[str, tuple[float, float]] = BANDS,
 ) -> DataFrame:
     """Run everything under ``root/runs/<run_id>`` and release it; returns the contract results.
 
+    The run also holds the data of the dashboard pages and the monitors: freshness as of ``as_of``
+    (today), daily volume, monthly KPIs against ``bands``, and the status of the three. ``note`` goes
+    into the log; where contracts that do not block have failed, the log names their number if
+    nobody has written a note.
+
     Staging, marts and reports are written as Parquet inside the run's own folder. The contracts
     then read the written reports. A critical failure raises ``PublicationBlocked``: the results
     stay readable in the run's folder and readers keep the previous release, in the catalogue, the
@@ -69,33 +84,60 @@ def publish(
     for wave in WAVES:
         _side_by_side(lambda table: getattr(model, table), wave)
 
+    kpi = partial(layers.read, KPI)
+
+    def store(layer: str, tables: Mapping[str, Callable[[], DataFrame]]) -> None:
+        _side_by_side(lambda name: export(tables[name](), layers.path(layer, name)), tables)
+
     reports = model.reports()
-    _side_by_side(lambda name: export(reports[name](), layers.path(KPI, name)), reports)
+    # The counts look at reports that have been exported.
+    counts = {"model_row_counts": lambda: model.row_counts(kpi)}
+    store(KPI, {name: build for name, build in reports.items() if name not in counts})
+    store(KPI, counts)
 
-    results_path = layers.path("contracts", "data_contract_test_results")
-    summary_path = layers.path("contracts", "data_contract_test_summary")
+    results_path = layers.path(CONTRACTS, "data_contract_test_results")
+    summary_path = layers.path(CONTRACTS, "data_contract_test_summary")
     export(
-        model.contract_results(
-            require_single_row(layers.read(KPI, "kpi_headline")),
-            layers.read(KPI, "kpi_monthly"),
-        ),
+        model.contract_results(require_single_row(kpi("kpi_headline")), kpi("kpi_monthly")),
         results_path,
     )
     results = spark.read.parquet(results_path)
     export(summarize(results), summary_path)
-    gate(spark.read.parquet(summary_path))
+    summary = spark.read.parquet(summary_path)
+    gate(summary)
+
+    page_data = dashboard.pages(kpi)
+    store(PAGES, page_data)
+    watched = {
+        "freshness": lambda: monitors.freshness(model.orders, as_of or date.today()),
+        "volume_anomaly": lambda: monitors.volume_anomaly(model.orders),
+        "kpi_drift": lambda: monitors.kpi_drift(kpi("kpi_monthly"), bands, ["month_start"]),
+    }
+    store(MONITORS, watched)
+    seen = [layers.read(MONITORS, name) for name in watched]
+    store(MONITORS, {"monitor_status": lambda: monitors.monitor_status(*seen)})
 
     # Nothing of this run is to be seen before here.
     for layer, name in kept:
         layers.register(layer, name)
     register(model.order_seller_performance(), "vw_order_seller_performance")
-    log.release(run_id)
+    log.release(run_id, note or caveat(summary))
     if csv_path:
         folder = csv_path.rstrip("/")
+        files = [
+            *[(KPI, name) for name in reports],
+            (CONTRACTS, "data_contract_test_results"),
+            (CONTRACTS, "data_contract_test_summary"),
+            (MONITORS, "monitor_status"),
+            *[(PAGES, name) for name in page_data],
+        ]
         _side_by_side(
-            lambda name: export(
-                layers.read(KPI, name), f"{folder}/{name}", "csv", report_order(name)
+            lambda file: export(
+                layers.read(*file),
+                f"{folder}/{file[1]}",
+                "csv",
+                report_order(file[1]) if file[0] == KPI else (),
             ),
-            reports,
+            files,
         )
     return results

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RAW, STAGING, MARTS, KPI = "raw", "staging", "marts", "kpi"
+CONTRACTS, PAGES, MONITORS = "contracts", "pages", "monitors"
 
 
 @cache
@@ -132,15 +133,19 @@ class PublicationLog:
     def run_path(self, run_id: str) -> str:
         return f"{self.root.rstrip('/')}/runs/{run_id}"
 
-    def release(self, run_id: str) -> None:
+    def release(self, run_id: str, note: str | None = None) -> None:
+        """Makes a run the newest one. ``note`` says what its readers should be warned of."""
         entry = self.spark.range(1).select(
-            F.lit(run_id).alias("run_id"), F.current_timestamp().alias("published_at")
+            F.lit(run_id).alias("run_id"),
+            F.current_timestamp().alias("published_at"),
+            F.lit(note).cast("string").alias("note"),
         )
         entry.write.mode("append").parquet(self.path)
 
     def _entries(self) -> DataFrame | None:
+        columns = "run_id string, published_at timestamp, note string"
         try:
-            return self.spark.read.parquet(self.path)
+            return self.spark.read.schema(columns).parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
@@ -157,9 +162,21 @@ class PublicationLog:
             return None
         return entries.agg(F.max_by("run_id", "published_at").alias("run_id")).first()["run_id"]
 
+    def note(self, run_id: str) -> str | None:
+        """The note a run was released with; one row reaches the driver."""
+        entries = self._entries()
+        if entries is None:
+            return None
+        mine = entries.filter(F.col("run_id") == run_id)
+        return mine.agg(F.max_by("note", "published_at").alias("note")).first()["note"]
+
     def read_kpi(self, name: str) -> DataFrame:
         """A KPI table of the newest released run."""
+        return self.read(KPI, name)
+
+    def read(self, layer: str, name: str) -> DataFrame:
+        """A table of the newest released run, from any of its layers."""
         run_id = self.latest()
         if run_id is None:
             raise LookupError("nothing has been published yet")
-        return self.spark.read.parquet(f"{self.run_path(run_id)}/kpi/{name}")
+        return self.spark.read.parquet(f"{self.run_path(run_id)}/{layer}/{name}")
