@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.rows import bag
-from trustmart.operators import kpis, marts, quality, staging
+from trustmart.operators import kpis, marts, monitors, quality, staging
 from trustmart.operators.dedupe import dedupe_keep_first, desc_last
 
 # Small thresholds, so that Spark treats test data like large data.
@@ -90,6 +90,29 @@ def test_hot_order_is_split_in_the_item_fact(at_scale):
     assert "skew=true" in final_plan(fact)
 
 
+def test_hot_seller_is_split_by_the_item_slicer(at_scale):
+    n = 30_000
+    lines = at_scale.range(0, n, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("order_id"),
+        F.when(F.col("id") % 3 == 0, "hot")
+        .otherwise(F.concat(F.lit("s"), F.col("id").cast("string")))
+        .alias("seller_id"),
+        F.lit("p").alias("product_id"),
+    )
+    # Sellers that were just de-duplicated, half of them chosen.
+    sellers = at_scale.range(0, n, 1, 8).select(
+        F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id").cast("string")))
+        .alias("seller_id"),
+        (F.col("id") % 2).alias("half"),
+    )
+    sellers = dedupe_keep_first(sellers, ["seller_id"], [desc_last("half")]).filter("half = 0")
+    chosen = monitors.sliced_items(lines, sellers=sellers)
+    rows = chosen.collect()
+    assert "skew=true" in final_plan(chosen)
+    assert sum(r.seller_id == "hot" for r in rows) == 10_000
+    assert len(rows) == 20_000
+
+
 def test_copies_of_one_key_are_dropped_before_the_shuffle(spark):
     """Each of 8 tasks holds thousands of copies of one key and passes on one of them."""
     raw = spark.range(0, 40_000, 1, 8).select(
