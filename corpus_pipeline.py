@@ -33,8 +33,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of near copies."""
-    return ngram_join.without_copies(docs)
+    """Keeps the smallest id of each group of near copies: five-word shingles, a similarity of 0.8 or
+    more. The three words and 0.9 of ``op7`` bind that query only."""
+    return ngram_join.without_copies(docs, size=5, threshold=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -223,6 +223,30 @@ def test_similarity_join_against_brute_force(spark):
     assert {r.doc_id for r in kept} == {i for i, (_, c) in brute_components(texts).items() if c == i}
 
 
+def test_pipeline_drops_near_copies_of_five_words_and_four_fifths(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(21)
+    texts = []
+    for family in range(14):
+        base = text_of(500 + family, int(rng.integers(60, 300))).split()
+        texts.append(" ".join(base))
+        for changed in (1, 2, 3, 4):
+            copy = list(base)
+            for at in rng.choice(len(copy), max(1, changed * len(copy) // 150), replace=False):
+                copy[int(at)] = f"new{rng.integers(1000)}"
+            texts.append(" ".join(copy))
+    texts += [None, "", "one", "ONE", "one two three four", "one two three four five"]
+    strict, wide = brute_components(dict(enumerate(texts))), brute_components(dict(enumerate(texts)), 5, 80)
+    # Copies between the two limits are there.
+    assert sum(c == i for i, (_, c) in wide.items()) < sum(c == i for i, (_, c) in strict.items())
+    docs = documents(spark, texts)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert {r.doc_id for r in kept} == {i for i, (_, c) in wide.items() if c == i}
+    found = {r.doc_id: r.component_id for r in ngram_join.linked(docs, size=5, threshold=80).collect()}
+    assert found == {i: c for i, (_, c) in wide.items()}
+
+
 def test_similarity_join_of_odd_rows(spark, odd, empty):
     rows = ngram_join.linked(odd).collect()
     assert len(rows) == 12
