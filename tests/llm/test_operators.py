@@ -112,6 +112,22 @@ def test_corpus_totals_count_each_text_once(spark, odd):
     assert {r.tokenizer for r in rows} == {"words:1", "word_bpe_49k:1"}
 
 
+def test_full_totals_hold_every_row(spark, tmp_path):
+    import duckdb
+
+    texts = ["one two", None, "one two", "three", None, "", "One two", None]
+    docs = documents(spark, texts, source=["a", "a", "b", "b", None, "b", "b", "c"])
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op3_token_counts(spark, str(tmp_path)).collect()
+    found = {(r.source, r.lang, r.documents, r.tokens) for r in rows if r.tokenizer == "words:1"}
+    plain = r"""SELECT source, lang, count(*), sum(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')))
+        FROM '{}/documents.parquet/*.parquet' GROUP BY source, lang"""
+    assert found == set(duckdb.sql(plain.format(tmp_path)).fetchall())
+    count = {v: sum(r.documents for r in rows if r.tokenizer == v) for v in {r.tokenizer for r in rows}}
+    # One copy is withdrawn from the distinct totals; null texts are copies of nothing.
+    assert count == {"words:1": 8, "word_bpe_49k:1": 8, "words:1:distinct": 7, "word_bpe_49k:1:distinct": 7}
+
+
 def test_surrogates_keep_kind_format_and_coreference(spark):
     texts = [
         "Mail ann.b7@mail.test.org or ANN.B7@MAIL.TEST.ORG, call +1 (415) 555-1234.",

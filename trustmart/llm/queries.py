@@ -44,7 +44,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_rollup.corpus_totals(table(spark, sf_dir, "documents"), tokenizer_path())
+    return token_rollup.full_totals(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

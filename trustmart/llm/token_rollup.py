@@ -122,8 +122,8 @@ class TokenRollup:
 
 
 def counted(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """(doc_id, source, lang, words, tokens, h1, h2): counts and two hashes of each text, in one
-    pass; the texts themselves are not kept."""
+    """(doc_id, source, lang, words, tokens, h1, h2): counts and two hashes of each text (null for a
+    null text), in one pass; the texts themselves are not kept."""
     ship(docs.sparkSession)
     names = ["doc_id", "source", "lang", "words", "h1", "h2"]
     schema = pa.schema(
@@ -143,8 +143,9 @@ def counted(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         F.col("source").cast("string").alias("source"),
         F.col("lang").cast("string").alias("lang"),
         n_words(text_of()).alias("words"),
-        F.xxhash64("text").alias("h1"),
-        F.xxhash64(F.lit(9176), "text").alias("h2"),
+        # A null text repeats no other; a hash of null is the seed, the same for all of them.
+        F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("h1"),
+        F.when(F.col("text").isNotNull(), F.xxhash64(F.lit(9176), "text")).alias("h2"),
         F.col("text").cast("string").alias("text"),
     )
     kinds = {"doc_id": "bigint", "source": "string", "lang": "string"}
@@ -153,50 +154,65 @@ def counted(docs: DataFrame, tokenizer_path: str) -> DataFrame:
 
 
 def corpus_totals(docs: DataFrame, tokenizer_path: str, name: str = "word_bpe_49k") -> DataFrame:
-    """Totals over all documents, maintained through three batches.
-
-    ``load`` inserts each document under the version "words:1" (words between white space) and, as an
-    estimate by the number of words, under the tokenizer; ``revise`` replaces the estimates by the
-    tokenizer's own counts under its final version; ``copies`` deletes documents that repeat the text
-    of a document with a smaller id.
+    """Totals in which each text counts once, for the document with the smallest id that has it,
+    under the versions "words:1" (words between white space) and ``name``:1."""
+    versions = {"words": "words:1", "tokens": f"{name}:1"}
+    return _maintained(docs, tokenizer_path, f"{name}:estimate", {}, versions)
+
+
+def full_totals(docs: DataFrame, tokenizer_path: str, name: str = "word_bpe_49k") -> DataFrame:
+    """Totals over all rows under "words:1" and ``name``:1. The totals in which each text counts once
+    stand beside them, under versions of their own: "words:1:distinct" and ``name``:1:distinct."""
+    versions = {"words": "words:1", "tokens": f"{name}:1"}
+    distinct = {kind: f"{version}:distinct" for kind, version in versions.items()}
+    return _maintained(docs, tokenizer_path, f"{name}:estimate", versions, distinct)
+
+
+def _maintained(
+    docs: DataFrame, tokenizer_path: str, estimate: str, full: dict[str, str], distinct: dict[str, str]
+) -> DataFrame:
+    """Totals maintained through three batches. ``full`` and ``distinct`` name the versions of the
+    counts "words" and "tokens".
+
+    ``load`` inserts each document with its words and, as an estimate by the number of words, under
+    the version ``estimate``; ``revise`` replaces the estimates by the tokenizer's own counts under
+    its final version; ``copies`` deletes from the versions ``distinct`` the documents that repeat
+    the text of a document with a smaller id.
     """
     spark = docs.sparkSession
     counts = stored(counted(docs, tokenizer_path), "counts")
     rollup = TokenRollup(spark, scratch(spark, "rollup"))
-    versions = F.explode(
-        F.array(
-            F.struct(F.lit("words:1").alias("tokenizer"), F.col("words").alias("tokens")),
-            F.struct(F.lit(f"{name}:estimate").alias("tokenizer"), F.col("words").alias("tokens")),
-        )
-    )
+    kinds = [of for of in (full, distinct) if of]
+
+    def under(*rows: tuple[str, str]):
+        return F.explode(F.array(*[F.struct(F.lit(v).alias("tokenizer"), F.col(c).alias("tokens")) for v, c in rows]))
+
+    # Estimates of the two kinds of totals are one version, of which each row takes its own away.
+    versions = under(*[row for of in kinds for row in ((of["words"], "words"), (estimate, "words"))])
     load = counts.select("source", "lang", versions.alias("v")).select("source", "lang", "v.*")
     rollup.commit("load", load.withColumn("kind", F.lit("insert")))
     revise = counts.select(
         F.lit("revise").alias("kind"),
         "source",
         "lang",
-        F.lit(f"{name}:1").alias("tokenizer"),
+        F.explode(F.array(*[F.lit(of["tokens"]) for of in kinds])).alias("tokenizer"),
         "tokens",
         F.col("source").alias("old_source"),
         F.col("lang").alias("old_lang"),
-        F.lit(f"{name}:estimate").alias("old_tokenizer"),
+        F.lit(estimate).alias("old_tokenizer"),
         F.col("words").alias("old_tokens"),
     )
     rollup.commit("revise", revise)
     # The smallest id of each text is found by sums before the shuffle; a text of very many copies is
     # one row there, and the join back can be split. Rows that share the smallest id all stay.
-    first = counts.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
-    copies = counts.join(first.filter("n > 1"), ["h1", "h2"]).filter("doc_id <> first")
+    texts = counts.filter("h1 is not null")
+    first = texts.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    copies = texts.join(first.filter("n > 1"), ["h1", "h2"]).filter("doc_id <> first")
     gone = copies.select(
         F.lit("delete").alias("kind"),
         "source",
         "lang",
-        F.explode(
-            F.array(
-                F.struct(F.lit("words:1").alias("tokenizer"), F.col("words").alias("tokens")),
-                F.struct(F.lit(f"{name}:1").alias("tokenizer"), F.col("tokens")),
-            )
-        ).alias("v"),
+        under((distinct["words"], "words"), (distinct["tokens"], "tokens")).alias("v"),
     )
     rollup.commit("copies", gone.select("kind", "source", "lang", "v.*"))
     rollup.compact()
