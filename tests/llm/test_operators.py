@@ -180,6 +180,15 @@ def test_packing_is_a_round_trip(spark, odd):
     assert packing.packing_digest(odd.limit(0), queries.tokenizer_path()).count() == 0
 
 
+def test_packing_lower_cases_each_character_alone():
+    texts = ["ΟΔΟΣ", "ΟΔΟΣ, ΌΛΟΣ! οδος οδοσ ΣΑΣ Σ aΣ", "İSTANBUL ΣİΣ ẞ Ǆ K Å"]
+    coder = packing.coder(queries.tokenizer_path())
+    for text, ids in zip(texts, coder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+    capitals = [chr(c) for c in range(0x110000) if chr(c).isalpha() and chr(c) != chr(c).lower()]
+    assert all(packing.lowered(f"a{c}") == "a" + c.lower() for c in capitals)
+
+
 def test_nearest_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(600, 24)) * rng.uniform(0.5, 2, size=(600, 1))

@@ -38,6 +38,12 @@ MEMO = 600_000
 LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
 
 
+def lowered(word: str) -> str:
+    """Lower-cased character by character, as the tokenizer does it: ``str.lower`` alone makes another
+    sigma of a capital one at the end of a word."""
+    return word.replace("\u03a3", "\u03c3").lower()
+
+
 class WordIds:
     """Ids of texts under a tokenizer that lower-cases, drops white space and marks word ends.
 
@@ -67,7 +73,7 @@ class WordIds:
         """Adds the ids of chunks without blanks to the store, many words in one call."""
         memo = self.memo
         parts = {c: m.groups() for c in chunks if (m := LETTERS_AND_MARKS.fullmatch(c))}
-        new = {core.lower() for core, _ in parts.values()}
+        new = {lowered(core) for core, _ in parts.values()}
         new = [w for w in new if w not in memo]
         groups = [new[at : at + 100] for at in range(0, len(new), 100)]
         encoded = self.tokenizer.encode_batch_fast(
@@ -89,7 +95,7 @@ class WordIds:
                 continue
             if marks and marks not in memo:
                 memo[marks] = self._alone(marks)
-            memo[chunk] = memo[core.lower()] + memo[marks]
+            memo[chunk] = memo[lowered(core)] + memo[marks]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text; texts are looked at in groups, so that new words are encoded together."""
