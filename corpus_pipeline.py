@@ -39,8 +39,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops, keeps or repeats documents so that sources come near their targets."""
-    return mixing.mixed(docs)
+    """Drops, keeps or repeats whole documents so that sources come near their targets."""
+    return mixing.mixed(docs, whole=True)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

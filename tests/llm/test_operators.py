@@ -341,6 +341,21 @@ def test_mix_reaches_its_targets(spark, odd, empty):
     assert mixing.mix_report(empty).count() == 0 and mixing.mixed(empty).count() == 0
 
 
+def test_pipeline_mixes_whole_documents(spark, odd, empty):
+    import corpus_pipeline
+
+    texts = [text_of(700 + i, 5 + 3 * (i % 17)) for i in range(120)]
+    docs = documents(spark, texts, source=[f"s{i % 3}" for i in range(120)])
+    report = {r.doc_id: r for r in mixing.mix_report(docs).collect()}
+    assert any(r.taken % r.size for r in report.values())
+    rows = corpus_pipeline.mix_sources(spark, docs, "").collect()
+    assert all(r.text == texts[r.doc_id] and r.n_chars == len(r.text) for r in rows)
+    copies = {i: sum(r.doc_id == i for r in rows) for i in report}
+    assert copies == {i: r.taken // r.size + (2 * (r.taken % r.size) >= r.size) for i, r in report.items()}
+    assert corpus_pipeline.mix_sources(spark, odd, "").columns == odd.columns
+    assert corpus_pipeline.mix_sources(spark, empty, "").count() == 0
+
+
 def test_quality_tells_marks_from_prose(spark, odd, empty):
     good = [text_of(i, 80) for i in range(60)]
     bad = [" ".join(w.upper() + "!!" for w in text_of(i, 60).split()) for i in range(60)]

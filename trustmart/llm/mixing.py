@@ -233,11 +233,16 @@ def mix_report(docs: DataFrame, seed: str = "mix") -> DataFrame:
     )
 
 
-def mixed(docs: DataFrame, seed: str = "mix") -> DataFrame:
+def mixed(docs: DataFrame, seed: str = "mix", whole: bool = False) -> DataFrame:
     """The mix itself: each document as often as whole passes take it, and the document at which a
-    quota ends once more, cut after the last word that fits. Columns stay those of ``docs``."""
+    quota ends once more, cut after the last word that fits. With ``whole`` no text is cut: that last
+    copy is whole if half of its words or more fit, else it is left out. Columns stay those of
+    ``docs``."""
     columns = docs.columns
     rows = take(docs, F.array("source"), seed=seed).filter(F.col("__taken") > 0)
+    if whole:
+        copies = F.expr("cast(__taken div __size + int(2 * (__taken % __size) >= __size) as int)")
+        return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.nullif(copies, F.lit(0))))).select(*columns)
     rest = F.col("__taken") % F.col("__size")
     # One copy for each whole pass (null: the whole text), one for the part.
     passes = F.array_repeat(F.lit(None).cast("bigint"), F.expr("cast(__taken div __size as int)"))
