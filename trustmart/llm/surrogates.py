@@ -13,6 +13,11 @@ so mentions of one entity agree across documents and later runs. It is then chec
 may share one, and none may be an entity that is found in the documents. Entities that fail draw
 again, in an order that does not depend on how rows are stored, until all are distinct.
 
+What is found is what ``PATTERNS`` and ``GIVEN`` hold, no more: persons by a fixed list of 64 given
+names (48 Latin, 16 Cyrillic) with one capitalised word behind; telephone numbers with "+" or as
+ddd-ddd-dddd and (ddd) ddd-dddd; secrets behind a key word; IPv4 addresses. Other names and scripts,
+other telephone numbers, national ids, IBANs, IPv6 addresses and bare secrets stay in clear text.
+
 Null texts stay null; empty ones stay empty; repeated rows and rows with one id get the same
 stand-ins; an empty table gives an empty result; other columns are carried along.
 """
