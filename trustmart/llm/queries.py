@@ -15,6 +15,7 @@ from trustmart.llm import (
     mixing,
     ngram_join,
     packing,
+    prefix_trie,
     quality,
     sql,
     surrogates,
@@ -87,6 +88,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
@@ -98,6 +103,12 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprint": op8_fingerprint,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
-ORACLES: dict[str, str] = {"op2_line_dedup": sql.OP2, "op7_ngram_join": sql.OP7, "op9_mixing": sql.OP9}
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": sql.OP2,
+    "op7_ngram_join": sql.OP7,
+    "op9_mixing": sql.OP9,
+    "op11_prefix_trie": sql.OP11,
+}

@@ -105,3 +105,50 @@ SELECT doc_id, size, source_size, target,
     + greatest(0, least(size, quota % greatest(source_size, 1) - (reached - size))))::BIGINT AS taken
 FROM placed
 """
+
+OP11 = r"""
+WITH ids AS (
+  SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL
+), hashed AS (
+  SELECT conv_id, xor(list_reduce(
+    list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+    lambda crc, c: list_reduce(list_prepend(xor(crc, c), range(8)),
+      lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)), 4294967295) % 4 AS h
+  FROM ids
+), known AS (
+  SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) AS nth FROM known
+), taken AS (
+  SELECT h.conv_id, nth, id, words FROM hashed h JOIN own o ON o.conv_id = h.conv_id - h.conv_id % 20 AND nth <= h
+  UNION ALL
+  SELECT conv_id, nth, id, words FROM own JOIN hashed USING (conv_id) WHERE nth > h
+), whole AS (
+  SELECT ids.conv_id, coalesce(list(id ORDER BY nth) FILTER (id IS NOT NULL), []) AS line,
+    coalesce(list(words ORDER BY nth) FILTER (id IS NOT NULL), []) AS words
+  FROM ids LEFT JOIN taken USING (conv_id) GROUP BY ids.conv_id
+), members AS (
+  SELECT conv_id, d, array_to_string(line[1:d], ',') AS node,
+    CASE WHEN d > 0 THEN array_to_string(line[1:d - 1], ',') END AS parent,
+    CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words, d = len(line) AS ends
+  FROM (SELECT conv_id, line, words, unnest(range(len(line) + 1)) AS d FROM whole)
+), nodes AS (
+  SELECT node, d, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(words) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY node, d
+), children AS (
+  SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), pairs AS (
+  SELECT DISTINCT x.node AS top, y.node FROM members x JOIN members y ON x.conv_id = y.conv_id AND y.d >= x.d
+), below AS (
+  SELECT top, count(*) FILTER (children.n IS NULL) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM pairs JOIN nodes USING (node) LEFT JOIN children USING (node) GROUP BY top
+)
+SELECT nodes.conv_id, nodes.d AS depth, p.conv_id AS parent_conv_id, nodes.n_convs,
+  coalesce(children.n, 0) AS n_children, n_leaves, saved_tokens, nodes.ends_sha256
+FROM nodes JOIN below ON below.top = nodes.node
+LEFT JOIN children ON children.node = nodes.node LEFT JOIN nodes p ON p.node = nodes.parent
+"""
