@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustmart.llm.common import stored
+from trustmart.operators.joins import lookup
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m"))
-    least = least.select("a", F.least("a", "m").alias("m"))
-    joined = both.join(least, "a").filter(F.col("b") > F.col("a"))
+    least = least.select(F.col("a").alias("__a"), F.least("a", "m").alias("m"))
+    joined = lookup(both.filter("b > a"), least, "a", "__a", "inner")
     return joined.select(F.col("m").alias("a"), "b").filter("a <> b").distinct()
 
 
@@ -21,7 +22,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Links a node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a"))
     least = down.groupBy("b").agg(F.min("a").alias("m"))
-    joined = down.join(least, "b")
+    joined = lookup(down, least.withColumnRenamed("b", "__b"), "b", "__b", "inner")
     moved = joined.select(F.col("m").alias("a"), F.col("a").alias("b"))
     own = least.select(F.col("m").alias("a"), "b")
     return moved.unionByName(own).filter("a <> b").distinct()
@@ -32,7 +33,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     ``links`` has two bigint columns a and b. Large-star and small-star rounds take turns until
     nothing moves, about log(n) of them; each round is a written table. A node with very many links
-    is summed before it is shuffled, and the joins can be split.
+    is summed before it is shuffled, and each side of the joins has a shuffle of its own, so that
+    adaptive execution can split such a node's links.
     """
     edges = stored(links.select("a", "b").filter("a <> b").distinct(), "links")
     state = None
