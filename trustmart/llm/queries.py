@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trustmart.llm import (
     ann,
+    circulant_minhash,
     fingerprint,
     language_id,
     line_dedup,
@@ -92,6 +93,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_report(table(spark, sf_dir, "conversations"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_minhash": op12_minhash,
 }
 
 ORACLES: dict[str, str] = {
@@ -111,4 +117,5 @@ ORACLES: dict[str, str] = {
     "op7_ngram_join": sql.OP7,
     "op9_mixing": sql.OP9,
     "op11_prefix_trie": sql.OP11,
+    "op12_minhash": sql.OP12,
 }

@@ -152,3 +152,13 @@ SELECT nodes.conv_id, nodes.d AS depth, p.conv_id AS parent_conv_id, nodes.n_con
 FROM nodes JOIN below ON below.top = nodes.node
 LEFT JOIN children ON children.node = nodes.node LEFT JOIN nodes p ON p.node = nodes.parent
 """
+
+OP12 = (
+    OP7.replace("len(w) < 3", "len(w) < 5")
+    .replace(
+        "range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]",
+        "range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')",
+    )
+    .replace(">= 90 *", ">= 85 *")
+    .replace("min(other) AS component_id\n", "min(other) AS component_id, doc_id = min(other) AS kept\n")
+)
