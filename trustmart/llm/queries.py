@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trustmart.llm import (
     ann,
     circulant_minhash,
+    divergence,
     fingerprint,
     language_id,
     line_dedup,
@@ -97,6 +98,10 @@ def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_line_dedup": op2_line_dedup,
@@ -110,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op10_language_id": op10_language_id,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_minhash": op12_minhash,
+    "op13_divergence": op13_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -118,4 +124,5 @@ ORACLES: dict[str, str] = {
     "op9_mixing": sql.OP9,
     "op11_prefix_trie": sql.OP11,
     "op12_minhash": sql.OP12,
+    "op13_divergence": sql.OP13,
 }

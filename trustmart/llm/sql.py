@@ -162,3 +162,48 @@ OP12 = (
     .replace(">= 90 *", ">= 85 *")
     .replace("min(other) AS component_id\n", "min(other) AS component_id, doc_id = min(other) AS kept\n")
 )
+
+OP13 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), found AS (
+  SELECT r, lang, source, unnest(terms) AS term FROM docs
+), counts AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS d FROM found GROUP BY ALL
+), kept AS (
+  SELECT lang, term, sum(n) AS total FROM counts GROUP BY lang, term HAVING sum(d) >= 30
+), langs AS (
+  SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang
+), parts AS (
+  SELECT DISTINCT lang, source FROM docs
+), sizes AS (
+  SELECT p.lang, p.source, coalesce(sum(c.n), 0) AS n
+  FROM parts p LEFT JOIN (SELECT * FROM counts SEMI JOIN kept USING (lang, term)) c USING (lang, source)
+  GROUP BY p.lang, p.source
+), shares AS (
+  SELECT lang, source, term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (s.n + 5 * l.v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (total + 5)) // (l.n + 5 * l.v)::HUGEINT AS q
+  FROM sizes s JOIN langs l USING (lang) JOIN kept USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), apart AS (
+  SELECT lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+  FROM shares x JOIN shares y USING (lang, term) WHERE x.source <> y.source GROUP BY ALL
+), pairs AS (
+  SELECT x.lang, x.source, y.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM parts x JOIN parts y ON x.lang = y.lang LEFT JOIN apart a
+    ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
+  WHERE x.source <> y.source
+), terms AS (
+  SELECT lang, source, term AS item, (p - q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', item, value FROM terms
+)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INTEGER AS rank
+FROM ranked QUALIFY part = 'pair' OR rank <= 50
+"""
