@@ -166,6 +166,8 @@ def train(
     share = min(1.0, documents / max(1, marks.count()))
     sample = marks.filter(draw < share * (1 << 30)).limit(2 * documents)
     rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(sample), "doc_id")
+    # One text for each drawn id, however often its rows are repeated.
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -185,7 +187,8 @@ def train(
 
 
 def score_column(text: Column, model: AttentionModel) -> Column:
-    """Score of a text column; the model has a fixed size of about ten thousand numbers."""
+    """Score of a text column, null taken as empty; the model has a fixed size of about ten thousand
+    numbers."""
 
     ship()
 
@@ -193,4 +196,4 @@ def score_column(text: Column, model: AttentionModel) -> Column:
     def score(texts: pd.Series) -> pd.Series:
         return texts.map(model.score).astype("float64")
 
-    return score(text)
+    return score(F.coalesce(text.cast("string"), F.lit("")))
