@@ -140,7 +140,8 @@ def train(
     for language, n in sizes.items():
         share = F.when(F.col("lang") == language, min(1.0, per_language / n)).otherwise(share)
     draw = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 30))
-    drawn = _as_bytes(rows.filter(draw < share * (1 << 30)), idf).collect()
+    # Copies of a row are drawn together and count once.
+    drawn = _as_bytes(rows.filter(draw < share * (1 << 30)).distinct(), idf).collect()
     centroids, of, least, languages = [], [], [], []
     for language in sorted(sizes):
         x = np.array([np.frombuffer(r["v"], dtype=np.float32) for r in drawn if r["lang"] == language])
