@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trustmart.functions.metrics import EXCLUDED_STATUSES, is_excluded, ratio
-from trustmart.operators.quality import excess_rows
 
 CRITICAL, WARNING, INFO = "critical", "warning", "info"
 
@@ -191,9 +190,9 @@ CONTRACTS: tuple[Contract, ...] = (
 
 # --- observations ---------------------------------------------------------------------------
 
-
-def _observe_orders(facts: DataFrame, excluded: Sequence[str]) -> DataFrame:
-    """Everything the contracts need from the order fact, in one aggregate."""
+def order_metrics(excluded: Sequence[str] = EXCLUDED_STATUSES) -> list[Column]:
+    """Everything the contracts need from the order fact but its keys: aggregates of one pass, which
+    can be observed while the fact is written."""
     known = F.col("is_on_time_delivery").isNotNull()
     coverage = F.when(known, F.lit(1.0)).otherwise(F.lit(0.0))
 
@@ -201,7 +200,7 @@ def _observe_orders(facts: DataFrame, excluded: Sequence[str]) -> DataFrame:
         return F.avg(F.when(F.col("is_on_time_delivery") == flag, F.col("avg_review_score")))
 
     canceled = F.when(F.col("is_canceled_or_unavailable") == 1, F.lit(1.0)).otherwise(F.lit(0.0))
-    return facts.agg(
+    return [
         F.sum("item_gmv").alias("order_gmv"),
         F.sum("revenue_eligible_gmv").alias("order_gmv_eligible"),
         F.count(F.when(F.col("is_revenue_eligible_order") == 1, 1)).alias("eligible_orders"),
@@ -217,21 +216,43 @@ def _observe_orders(facts: DataFrame, excluded: Sequence[str]) -> DataFrame:
         F.avg(coverage).alias("on_time_coverage"),
         (review_if(1) - review_if(0)).alias("review_gap"),
         ratio(F.sum("payment_value_total"), F.sum("item_gmv")).alias("payment_ratio"),
-    )
+    ]
+
+
+def item_metrics() -> list[Column]:
+    """What the contracts need from the item fact but its keys."""
+    return [F.sum("gmv").alias("items_gmv")]
 
 
 def _observe_items(items: DataFrame) -> DataFrame:
-    return items.agg(F.sum("gmv").alias("items_gmv"))
+    return items.agg(*item_metrics())
 
 
-def _observe_eligible_items(items: DataFrame, facts: DataFrame) -> DataFrame:
-    """Item-level GMV of eligible orders. Items are summed per order before the join."""
-    eligible = facts.filter("is_revenue_eligible_order = 1").select(
-        F.col("order_id").alias("__order")
+def _observe_keys(items: DataFrame, facts: DataFrame) -> DataFrame:
+    """Both grain checks and the item-level GMV of eligible orders, in one pass by order id.
+
+    Lines are summed per order before the join, and over facts that are stored by order nothing is
+    shuffled. A repeated order counts once for each of its rows, as the plain join of both facts would.
+    """
+    eligible = F.count(F.when(F.col("is_revenue_eligible_order") == 1, 1))
+    orders = facts.groupBy(F.col("order_id").alias("__order")).agg(
+        F.count(F.lit(1)).alias("order_rows"), eligible.cast("decimal(19,0)").alias("eligible_rows")
     )
-    per_order = items.groupBy("order_id").agg(F.sum("gmv").alias("gmv"))
-    return per_order.join(eligible, F.col("order_id") == F.col("__order")).agg(
-        F.sum("gmv").alias("items_gmv_eligible")
+    lines = (
+        items.groupBy("order_id", "order_item_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("gmv").alias("gmv"))
+        .groupBy("order_id")
+        .agg(F.sum("n").alias("line_rows"), F.count(F.lit(1)).alias("line_keys"), F.sum("gmv").alias("gmv"))
+    )
+    both = orders.join(lines, F.col("__order") == F.col("order_id"), "full")
+    none = F.lit(0).cast("bigint")
+    return both.agg(
+        # Rows without an order id are all excess.
+        F.coalesce(F.sum(F.col("order_rows") - F.col("__order").isNotNull().cast("bigint")), none).alias(
+            "order_key_excess"
+        ),
+        F.coalesce(F.sum(F.col("line_rows") - F.col("line_keys")), none).alias("item_key_excess"),
+        F.sum(F.when(F.col("eligible_rows") > 0, F.col("gmv") * F.col("eligible_rows"))).alias("items_gmv_eligible"),
     )
 
 
@@ -273,23 +294,23 @@ def observe(
     headline: DataFrame,
     monthly: DataFrame,
     excluded: Sequence[str] = EXCLUDED_STATUSES,
+    of_orders: DataFrame | None = None,
+    of_items: DataFrame | None = None,
 ) -> DataFrame:
     """One row with every number the contracts look at. All joins here are of one-row frames.
 
     ``excluded`` names the statuses that the order facts were built to leave out of revenue.
+    ``of_orders`` and ``of_items`` hold ``order_metrics`` and ``item_metrics`` where these were observed
+    while the facts were written; then each fact is read twice only, by its key and by its foreign key.
     """
     parts = [
-        _observe_items(items),
-        _observe_eligible_items(items, facts),
-        excess_rows(facts, ["order_id"]).withColumnRenamed("issue_rows", "order_key_excess"),
-        excess_rows(items, ["order_id", "order_item_id"], count_null_key=True).withColumnRenamed(
-            "issue_rows", "item_key_excess"
-        ),
+        of_items if of_items is not None else _observe_items(items),
+        _observe_keys(items, facts),
         _orphans(facts, "customer_id", customers, "orders_without_customer"),
         _orphans(items, "product_id", products, "items_without_product"),
         _observe_reports(headline, monthly),
     ]
-    row = _observe_orders(facts, excluded)
+    row = of_orders if of_orders is not None else facts.agg(*order_metrics(excluded))
     for part in parts:
         row = row.crossJoin(F.broadcast(part))
     return row.withColumns(

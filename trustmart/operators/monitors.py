@@ -229,11 +229,10 @@ def category_reviews(items: DataFrame, facts: DataFrame, products: DataFrame) ->
     scores = facts.filter("is_revenue_eligible_order = 1").select(
         F.col("order_id").alias("__order"), "avg_review_score"
     )
-    lines = items.select("order_id", "product_id").distinct()
-    orders = item_categories(lines, products).select("order_id", "category").distinct()
+    lines = with_orders(items.select("order_id", "product_id").distinct(), scores)
+    orders = item_categories(lines, products).select("order_id", "category", "avg_review_score").distinct()
     return (
-        with_orders(orders, scores)
-        .groupBy("category")
+        orders.groupBy("category")
         .agg(
             F.count(F.lit(1)).alias("orders"),
             F.count("avg_review_score").alias("reviewed_orders"),

@@ -10,18 +10,26 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from trustmart.operators import dashboard, monitors
-from trustmart.operators.contracts import caveat, gate, summarize
+from trustmart.operators.contracts import caveat, gate, item_metrics, order_metrics, summarize
 from trustmart.operators.kpis import report_order
+from trustmart.operators.marts import order_seller_performance
 from trustmart.plans.model import WAVES, Model
 from trustmart.sources.layers import (
     CONTRACTS,
     KPI,
+    MARTS,
     MONITORS,
     PAGES,
     RAW,
+    STAGING,
+    Buckets,
     Layers,
     PublicationLog,
+    dealt,
     export,
+    largest_group,
+    observed,
+    observed_row,
     require_single_row,
 )
 from trustmart.sources.raw import RAW_COLUMNS, register
@@ -29,6 +37,10 @@ from trustmart.sources.raw import RAW_COLUMNS, register
 # Independent tables are written by a few jobs at a time, so that a small one does not leave the
 # cluster waiting.
 JOBS_AT_ONCE = 4
+#: Lines of one order, all of which a bucket holds, that item facts are still stored by order for.
+MOST_LINES = 5_000_000
+#: What is observed of a fact while it is written.
+METRICS = {"fact_orders": order_metrics, "fact_order_items": item_metrics}
 #: Bands that the monthly KPIs are expected to keep.
 BANDS = {"cancellation_rate": (0.0, 0.2), "on_time_delivery_rate": (0.8, 1.0)}
 
@@ -49,6 +61,8 @@ def publish(
     note: str | None = None,
     as_of: date | None = None,
     bands: Mapping[str, tuple[float, float]] = BANDS,
+    buckets: int | None = None,
+    most_lines: int = MOST_LINES,
 ) -> DataFrame:
     """Run everything under ``root/runs/<run_id>`` and release it; returns the contract results.
 
@@ -65,16 +79,40 @@ def publish(
     raw tables as Parquet too: worth it for CSV input, which would else be parsed once per reader,
     and in one task where it is multi-line. The run's tables are registered in the databases
     ``<prefix>raw``, ``<prefix>staging`` and ``<prefix>marts``.
+
+    Both facts are stored in ``buckets`` (by default as many as the session's shuffle partitions) by
+    order id, so that the reports and contracts that bring them together shuffle neither of them. Item
+    facts are stored plainly where one order has more than ``most_lines`` lines, as these would fill one
+    bucket. What the contracts need of the facts besides their keys is observed while they are written.
     """
     log = PublicationLog(spark, root)
     if log.is_released(run_id):
         raise ValueError(f"run {run_id} is released and cannot be written again")
     layers = Layers(spark, log.run_path(run_id), prefix).create()
-    kept: list[tuple[str, str]] = []
+    kept: dict[tuple[str, str], Buckets | None] = {}
+    seen: dict[str, DataFrame] = {}
+    by_order = Buckets("order_id", buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def layout(name: str) -> Buckets | None:
+        if name == "fact_order_items":
+            lines = largest_group(layers.read(STAGING, "stg_order_items"), by_order.key)
+            return by_order if lines <= most_lines else None
+        return by_order if name == "fact_orders" else None
 
     def keep(layer: str, name: str, df: DataFrame) -> DataFrame:
-        kept.append((layer, name))
-        return layers.write(layer, name, df)
+        kept[layer, name] = layout(name)
+        if name not in METRICS:
+            return layers.write(layer, name, df)
+        metrics = METRICS[name]()
+        schema = df.agg(*metrics).schema
+        if kept[layer, name]:
+            df, watch = observed(dealt(df, by_order), name, metrics)
+            stored = layers.write_bucketed(layer, name, df, by_order)
+        else:
+            df, watch = observed(df, name, metrics)
+            stored = layers.write(layer, name, df)
+        seen[name] = observed_row(spark, watch, schema)
+        return stored
 
     if land_raw:
         source = raw
@@ -98,7 +136,12 @@ def publish(
     results_path = layers.path(CONTRACTS, "data_contract_test_results")
     summary_path = layers.path(CONTRACTS, "data_contract_test_summary")
     export(
-        model.contract_results(require_single_row(kpi("kpi_headline")), kpi("kpi_monthly")),
+        model.contract_results(
+            require_single_row(kpi("kpi_headline")),
+            kpi("kpi_monthly"),
+            seen["fact_orders"],
+            seen["fact_order_items"],
+        ),
         results_path,
     )
     results = spark.read.parquet(results_path)
@@ -118,9 +161,10 @@ def publish(
     store(MONITORS, {"monitor_status": lambda: monitors.monitor_status(*seen)})
 
     # Nothing of this run is to be seen before here.
-    for layer, name in kept:
-        layers.register(layer, name)
-    register(model.order_seller_performance(), "vw_order_seller_performance")
+    for (layer, name), layout_of in kept.items():
+        layers.register(layer, name, layout_of)
+    facts = [spark.table(f"{layers.database(MARTS)}.{t}") for t in ("fact_order_items", "fact_orders")]
+    register(order_seller_performance(*facts), "vw_order_seller_performance")
     log.release(run_id, note or caveat(summary))
     if csv_path:
         folder = csv_path.rstrip("/")

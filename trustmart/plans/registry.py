@@ -18,9 +18,12 @@ from trustmart.plans.oracle import statement
 from trustmart.sources.adapter import DriverTables
 from trustmart.sources.layers import (
     KPI,
+    MARTS,
     STAGING,
+    Buckets,
     Layers,
     PublicationLog,
+    dealt,
     export,
     require_single_row,
     shared_folder,
@@ -379,6 +382,32 @@ query(
 )(Model.row_counts)
 
 
+# --- over facts that are stored by order ----------------------------------------------------
+
+
+def _facts_by_order(m: Model) -> tuple[DataFrame, DataFrame]:
+    """Item and order facts, stored in buckets by order id as a publication stores them."""
+    spark = m.stg_orders.sparkSession
+    layers = Layers(spark, _run_folder(spark), "trustmart_check_")
+    by_order = Buckets("order_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    items, orders = (
+        layers.write_bucketed(MARTS, name, dealt(df, by_order), by_order)
+        for name, df in (("fact_order_items", m.fact_order_items), ("fact_orders", m.orders))
+    )
+    return items, orders
+
+
+query("stored_seller_risk", ORACLES["kpi_seller_risk"])(
+    lambda m: kpis.seller_risk(*_facts_by_order(m), m.sellers, 450)
+)
+query("stored_category", ORACLES["kpi_category"])(
+    lambda m: kpis.category_performance(*_facts_by_order(m), m.products)
+)
+query("stored_seller_concentration", ORACLES["kpi_seller_concentration"])(
+    lambda m: kpis.seller_concentration(*_facts_by_order(m))
+)
+
+
 # --- data quality and contracts -------------------------------------------------------------
 
 query("data_quality_summary", "SELECT * FROM dq")(Model.data_quality)
@@ -674,15 +703,10 @@ class DriverModel(Model):
         super().__init__(self.source.raw)
 
 
-_latest: list = []
-
-
 def model_over(spark: SparkSession, sf_dir: str) -> DriverModel:
-    """The model of a session and directory. The last one is kept, so that a series of queries
-    builds its shared plans once; it holds plans only, no data."""
-    if not _latest or _latest[0] is not spark or _latest[1] != sf_dir:
-        _latest[:] = [spark, sf_dir, DriverModel(spark, sf_dir)]
-    return _latest[2]
+    """A model of the tables as they are now. Each query gets its own: a model stores order places on
+    the way, which would be out of date as soon as a file changes."""
+    return DriverModel(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -10,8 +10,9 @@ from dataclasses import dataclass
 from functools import cache
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 RAW, STAGING, MARTS, KPI = "raw", "staging", "marts", "kpi"
 CONTRACTS, PAGES, MONITORS = "contracts", "pages", "monitors"
@@ -44,6 +45,37 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """How a stored table is dealt out: by hash of ``key`` into ``count`` sorted files."""
+
+    key: str
+    count: int
+
+
+def observed(df: DataFrame, name: str, metrics: Sequence[Column]) -> tuple[DataFrame, Observation]:
+    """``df`` whose next action also works out ``metrics`` (aggregates), without another pass.
+
+    Spark counts each task of an action's last stage once, however often it is run, so write the
+    returned frame as it is: a shuffle behind this point could count rows of a repeated task twice.
+    """
+    seen = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+    return df.observe(seen, *metrics), seen
+
+
+def observed_row(spark: SparkSession, seen: Observation, schema: StructType) -> DataFrame:
+    """The observed metrics as a frame of one row; the values have reached the driver."""
+    found = seen.get
+    return spark.createDataFrame([tuple(found[f.name] for f in schema)], schema)
+
+
+def written_observed(df: DataFrame, name: str, metrics: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+    """``written`` and, from the same pass, the metrics as a frame of one row."""
+    schema = df.agg(*metrics).schema
+    watched, seen = observed(df, name, metrics)
+    return written(watched, name), observed_row(df.sparkSession, seen, schema)
+
+
 @dataclass(frozen=True)
 class Layers:
     """Databases ``<prefix>raw``, ``<prefix>staging`` ... whose tables lie under one root folder."""
@@ -80,17 +112,57 @@ class Layers:
         df.write.mode("overwrite").parquet(self.path(layer, name))
         return self.read(layer, name)
 
-    def register(self, layer: str, name: str) -> None:
+    def write_bucketed(self, layer: str, name: str, df: DataFrame, buckets: Buckets) -> DataFrame:
+        """Replace a table by ``df``, dealt into buckets that joins and groups by ``key`` read without
+        a shuffle; the public name stays as it is.
+
+        ``df`` should come with :func:`dealt`, one task a bucket. Spark learns the buckets of a table
+        from its entry in the catalogue, so the table has a working name until its plan is made.
+        """
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}work")
+        table = f"{self.prefix}work.{layer}_{name}_{uuid.uuid4().hex[:12]}"
+        (
+            df.write.mode("overwrite")
+            .format("parquet")
+            .option("path", self.path(layer, name))
+            .bucketBy(buckets.count, buckets.key)
+            .sortBy(buckets.key)
+            .saveAsTable(table)
+        )
+        stored = self.spark.table(table)
+        # An external table: its files stay, and the plan over them keeps the buckets.
+        self.spark.sql(f"DROP TABLE {table}")
+        return stored
+
+    def register(self, layer: str, name: str, buckets: Buckets | None = None) -> None:
         """Let the table's name in the catalogue stand for the files of this root."""
         table = f"{self.database(layer)}.{name}"
         # An external table: dropping the name leaves the files of the former run alone.
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.spark.catalog.createTable(table, path=self.path(layer, name), source="parquet")
+        if buckets is None:
+            self.spark.catalog.createTable(table, path=self.path(layer, name), source="parquet")
+            return
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.read(layer, name).schema)
+        self.spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{buckets.key}`)"
+            f" SORTED BY (`{buckets.key}`) INTO {buckets.count} BUCKETS LOCATION '{self.path(layer, name)}'"
+        )
 
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
 
 
+def dealt(df: DataFrame, buckets: Buckets) -> DataFrame:
+    """``df`` in one task for each bucket."""
+    return df.repartition(buckets.count, buckets.key)
+
+
+def largest_group(df: DataFrame, key: str) -> int:
+    """Rows of the most frequent key; counted before they are shuffled. One number reaches the driver."""
+    most = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    return most or 0
+
+
 def export(
     df: DataFrame, path: str, fmt: str = "parquet", order_by: Sequence[Column] = ()
 ) -> None:
