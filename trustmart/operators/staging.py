@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trustmart.functions.clean import (
@@ -19,6 +22,57 @@ from trustmart.functions.clean import (
 from trustmart.operators.dedupe import asc_last, dedupe_keep_first, desc_last
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Which row of a key stays: the first under ``order``."""
+
+    keys: tuple[str, ...]
+    order: Callable[[], list[Column]]
+
+    def winners(self, df: DataFrame) -> DataFrame:
+        return dedupe_keep_first(df, self.keys, self.order())
+
+
+#: The rules of the staging tables that keep one row per key.
+RULES = {
+    "stg_orders": Rule(
+        ("order_id",),
+        lambda: [desc_last("order_purchase_ts"), asc_last("customer_id"), asc_last("order_status")],
+    ),
+    "stg_order_items": Rule(
+        ("order_id", "order_item_id"),
+        lambda: [
+            desc_last("shipping_limit_ts"),
+            asc_last("seller_id"),
+            asc_last("product_id"),
+            desc_last("price"),
+            desc_last("freight_value"),
+        ],
+    ),
+    "stg_order_payments": Rule(
+        ("order_id", "payment_sequential"),
+        lambda: [desc_last("payment_value"), asc_last("payment_type"), desc_last("payment_installments")],
+    ),
+    "stg_order_reviews": Rule(
+        ("review_id",),
+        lambda: [desc_last("review_answer_ts"), asc_last("order_id"), desc_last("review_score")],
+    ),
+    "stg_customers": Rule(
+        ("customer_id",),
+        lambda: [
+            asc_last("customer_unique_id"),
+            asc_last("customer_zip_code_prefix"),
+            asc_last("customer_state"),
+            asc_last("customer_city"),
+        ],
+    ),
+    "stg_sellers": Rule(
+        ("seller_id",),
+        lambda: [asc_last("seller_zip_code_prefix"), asc_last("seller_state"), asc_last("seller_city")],
+    ),
+}
+
+
 def stage_orders(raw_orders: DataFrame) -> DataFrame:
     """One row per order; the latest purchase wins."""
     typed_orders = raw_orders.select(
@@ -31,11 +85,7 @@ def stage_orders(raw_orders: DataFrame) -> DataFrame:
         parse_ts("order_delivered_customer_date").alias("delivered_customer_ts"),
         parse_ts("order_estimated_delivery_date").alias("estimated_delivery_ts"),
     )
-    return dedupe_keep_first(
-        typed_orders,
-        ["order_id"],
-        [desc_last("order_purchase_ts"), asc_last("customer_id"), asc_last("order_status")],
-    )
+    return RULES["stg_orders"].winners(typed_orders)
 
 
 def stage_order_items(raw_items: DataFrame, money=MONEY) -> DataFrame:
@@ -49,17 +99,7 @@ def stage_order_items(raw_items: DataFrame, money=MONEY) -> DataFrame:
         typed("price", money).alias("price"),
         typed("freight_value", money).alias("freight_value"),
     )
-    return dedupe_keep_first(
-        typed_items,
-        ["order_id", "order_item_id"],
-        [
-            desc_last("shipping_limit_ts"),
-            asc_last("seller_id"),
-            asc_last("product_id"),
-            desc_last("price"),
-            desc_last("freight_value"),
-        ],
-    )
+    return RULES["stg_order_items"].winners(typed_items)
 
 
 def stage_order_payments(raw_payments: DataFrame, money=MONEY) -> DataFrame:
@@ -71,11 +111,7 @@ def stage_order_payments(raw_payments: DataFrame, money=MONEY) -> DataFrame:
         typed("payment_installments", "int").alias("payment_installments"),
         typed("payment_value", money).alias("payment_value"),
     )
-    return dedupe_keep_first(
-        typed_payments,
-        ["order_id", "payment_sequential"],
-        [desc_last("payment_value"), asc_last("payment_type"), desc_last("payment_installments")],
-    )
+    return RULES["stg_order_payments"].winners(typed_payments)
 
 
 def stage_order_reviews(raw_reviews: DataFrame) -> DataFrame:
@@ -89,11 +125,7 @@ def stage_order_reviews(raw_reviews: DataFrame) -> DataFrame:
         parse_ts("review_creation_date").alias("review_creation_ts"),
         parse_ts("review_answer_timestamp").alias("review_answer_ts"),
     )
-    return dedupe_keep_first(
-        typed_reviews,
-        ["review_id"],
-        [desc_last("review_answer_ts"), asc_last("order_id"), desc_last("review_score")],
-    )
+    return RULES["stg_order_reviews"].winners(typed_reviews)
 
 
 def stage_customers(raw_customers: DataFrame) -> DataFrame:
@@ -104,16 +136,7 @@ def stage_customers(raw_customers: DataFrame) -> DataFrame:
         norm_lower("customer_city").alias("customer_city"),
         norm_upper("customer_state").alias("customer_state"),
     )
-    return dedupe_keep_first(
-        typed_customers,
-        ["customer_id"],
-        [
-            asc_last("customer_unique_id"),
-            asc_last("customer_zip_code_prefix"),
-            asc_last("customer_state"),
-            asc_last("customer_city"),
-        ],
-    )
+    return RULES["stg_customers"].winners(typed_customers)
 
 
 def stage_sellers(raw_sellers: DataFrame) -> DataFrame:
@@ -123,11 +146,7 @@ def stage_sellers(raw_sellers: DataFrame) -> DataFrame:
         norm_lower("seller_city").alias("seller_city"),
         norm_upper("seller_state").alias("seller_state"),
     )
-    return dedupe_keep_first(
-        typed_sellers,
-        ["seller_id"],
-        [asc_last("seller_zip_code_prefix"), asc_last("seller_state"), asc_last("seller_city")],
-    )
+    return RULES["stg_sellers"].winners(typed_sellers)
 
 
 def stage_products(raw_products: DataFrame, raw_translation: DataFrame) -> DataFrame:

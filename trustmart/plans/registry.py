@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from trustmart.functions.clean import blank_to_null, norm_lower, norm_upper, parse_ts, zip5
 from trustmart.functions.metrics import as_reported
-from trustmart.operators import contracts, dashboard, kpis, marts, monitors, quality
+from trustmart.operators import contracts, dashboard, kpis, marts, monitors, quality, staging
 from trustmart.operators.dedupe import asc_last, dedupe_keep_first, desc_last
 from trustmart.plans.model import Model
 from trustmart.plans.oracle import statement
@@ -28,7 +28,9 @@ from trustmart.sources.layers import (
     require_single_row,
     shared_folder,
 )
+from trustmart.sources.monthly import MonthlyFacts
 from trustmart.sources.raw import read_raw, register
+from trustmart.sources.winners import KeyedWinners, merged_in_batches
 
 Plan = Callable[[Model], DataFrame]
 
@@ -692,6 +694,43 @@ query(
 )(lambda m: monitors.category_reviews(m.order_lines, m.orders, m.products))
 
 
+# --- batch by batch, month by month ----------------------------------------------------------
+
+
+def _in_batches(m: Model, table: str) -> DataFrame:
+    """A staging table from three batches of its raw rows, the last of which is committed twice."""
+    raw_name, stage = {
+        "stg_orders": ("orders", staging.stage_orders),
+        "stg_order_items": ("order_items", staging.stage_order_items),
+    }[table]
+    raw = m.raw(raw_name)
+    numbered = raw.withColumn("__batch", F.pmod(F.xxhash64(*raw.columns), F.lit(3)))
+    parts = [stage(numbered.filter(F.col("__batch") == i).drop("__batch")) for i in (2, 0, 1, 1)]
+    spark = raw.sparkSession
+    winners = KeyedWinners(spark, _run_folder(spark), parts[0].schema, staging.RULES[table])
+    return merged_in_batches(winners, list(zip(("two", "zero", "one", "one"), parts, strict=True)))
+
+
+query("incremental_orders", ORACLES["stage_orders"])(lambda m: _in_batches(m, "stg_orders"))
+query("incremental_order_items", ORACLES["stage_order_items"])(
+    lambda m: as_reported(_in_batches(m, "stg_order_items"))
+)
+
+
+@query("sliced_headline_by_month", ORACLES["sliced_headline"])
+def sliced_headline_by_month(m: Model) -> DataFrame:
+    """The sliced headline over facts that are stored by month: the slicer's months are read."""
+    spark = m.stg_orders.sparkSession
+    store = MonthlyFacts(spark, _run_folder(spark), m.orders.schema)
+    store.create(m.orders)
+    first, last = datetime(1996, 1, 1), datetime(1999, 12, 31, 23, 59, 59)
+    chosen = monitors.apply_slicers(m.customers, {"customer_state": ["EUROPE", "ASIA"]})
+    orders = monitors.apply_slicers(
+        store.read(first, last), {"order_status": ["delivered", "shipped"]}, {"order_purchase_ts": (first, last)}
+    )
+    return kpis.headline(monitors.orders_of_customers(orders, chosen))
+
+
 # --- access ---------------------------------------------------------------------------------
 
 
