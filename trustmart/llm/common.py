@@ -22,12 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+#: Rows that go to Python at once, where the session has Spark's default: whole texts are long, and a
+#: batch is held by the executor, by Arrow and by Python.
+BATCH_ROWS, DEFAULT_ROWS = "1000", "10000"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession | None = None) -> None:
     """Sends this package to the executors, once for each application, so that Python functions find
-    it there however the driver was started."""
-    context = (spark or SparkSession.active()).sparkContext
+    it there however the driver was started, and makes the session's batches small."""
+    spark = spark or SparkSession.active()
+    if spark.conf.get(_BATCH) == DEFAULT_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+    context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

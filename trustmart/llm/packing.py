@@ -32,8 +32,9 @@ from pyspark.sql import types as T
 
 from trustmart.llm.common import ship, stored
 
-#: Words that a task keeps with their ids, about 200 bytes each.
-MEMO = 600_000
+#: Words that a worker keeps with their ids, about 200 bytes each, and words of the texts that are
+#: encoded together; a longer text is encoded alone.
+MEMO, GROUP = 500_000, 300_000
 #: Letters with ASCII marks behind them (no apostrophe): the marks are a word of their own.
 LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -105,21 +106,21 @@ class WordIds:
         for text in texts:
             chunks = text.replace("\n", " ").replace("\t", " ").split(" ")
             group.append(chunks)
-            memo = self.memo
-            new.update(c for c in chunks if c not in memo)
+            new.update(chunks)
             size += len(chunks)
-            if size > 1_000_000:
+            if size > GROUP:
                 yield from self._settle(group, new)
                 group, new, size = [], set(), 0
         yield from self._settle(group, new)
 
     def _settle(self, group: list[list[str]], new: set[str]) -> Iterator[bytes]:
-        self._learn(new)
+        self._learn(new.difference(self.memo))
         get = self.memo.__getitem__
         for chunks in group:
             yield b"".join(map(get, chunks))
         if len(self.memo) > MEMO:
-            self.memo = {"": b""}
+            # What the last texts needed stays, frequent words with it.
+            self.memo = {"": b"", **{c: self.memo[c] for c in new}}
 
 
 _CODERS: dict[str, WordIds] = {}
