@@ -24,6 +24,7 @@ values are ranked by item. An empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -39,8 +40,9 @@ from trustmart.llm.common import ship, stored
 LETTERS = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
 )
-#: Bytes of a block of postings in memory, as estimated; postings of a chunk; bytes of text at once.
-BLOCK_BYTES = 96_000_000
+#: Bytes of a block of postings in memory, and of one posting, as estimated; postings of a chunk; bytes
+#: of text at once.
+BLOCK_BYTES, POSTING_BYTES = 96_000_000, 300
 CHUNK = 4096
 PIECE = 1 << 20
 #: Pair sums that a task holds: tiles of so many sources by as many.
@@ -48,54 +50,71 @@ TILE, TILES = 256, 48
 SCALE, PRIOR = 1_000_000_000, 5
 
 
-def terms_of(text: str) -> Counter:
-    """How often each term, as bytes, occurs in a text."""
+def terms_of(text: str) -> Iterator[list[bytes]]:
+    """The terms of a text, a long one in pieces."""
     data = text.encode("utf-8").translate(LETTERS)
-    if len(data) <= PIECE:
-        return Counter(data.split())
-    found: Counter = Counter()
     at = 0
     while at < len(data):
         end = len(data) if at + PIECE >= len(data) else data.find(b" ", at + PIECE)
         end = len(data) if end < 0 else end
-        found.update(data[at:end].split())
+        yield data[at:end].split()
         at = end
-    return found
 
 
-RUN = "shard int, lang string, first string, terms array<string>, sources array<string>, counts array<bigint>, docs array<bigint>"
+#: A chunk of a run: distinct terms in order (a term holds no line break), how many postings each has,
+#: the chunk's sources, and by posting: number of the source, occurrences, documents.
+RUN = "shard int, lang string, first string, terms string, sizes binary, sources array<string>, postings binary"
+RUN_SCHEMA = pa.schema(
+    [
+        ("shard", pa.int32()),
+        ("lang", pa.string()),
+        ("first", pa.string()),
+        ("terms", pa.string()),
+        ("sizes", pa.binary()),
+        ("sources", pa.list_(pa.string())),
+        ("postings", pa.binary()),
+    ]
+)
+
+
+def chunks_of(lang: str, groups: dict[str, tuple[Counter, Counter]], shards: int) -> Iterator[tuple]:
+    """A language's part of a block, {source: (occurrences, documents) of each term}, as chunks."""
+    cut: dict[int, list[tuple]] = defaultdict(list)
+    seed = zlib.crc32(lang.encode())
+    for source, (counts, docs) in groups.items():
+        for term, n in counts.items():
+            cut[zlib.crc32(term, seed) % shards].append((term, source, n, docs[term]))
+    for shard, flat in sorted(cut.items()):
+        flat.sort()
+        for at in range(0, len(flat), CHUNK):
+            terms, sources, counts, docs = zip(*flat[at : at + CHUNK], strict=True)
+            sizes = Counter(terms)
+            number = {s: i for i, s in enumerate(dict.fromkeys(sources))}
+            postings = np.array([[number[s] for s in sources], counts, docs], dtype="<i8")
+            yield (
+                shard,
+                lang,
+                terms[0].decode(),
+                b"\n".join(sizes).decode(),
+                np.fromiter(sizes.values(), dtype="<i4", count=len(sizes)).tobytes(),
+                list(number),
+                postings.tobytes(),
+            )
 
 
 def runs_of(docs: DataFrame, shards: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Chunks of the term-sorted runs that the tasks spill."""
-    big = pa.list_(pa.int64())
-    words = pa.list_(pa.string())
-    schema = pa.schema(
-        [("shard", pa.int32()), ("lang", pa.string()), ("first", pa.string()), ("terms", words), ("sources", words), ("counts", big), ("docs", big)]
-    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        # Of each language: term -> {source: [occurrences, documents]}.
-        block: dict[str, dict[bytes, dict[str, list[int]]]] = defaultdict(dict)
+        block: dict[str, dict[str, tuple[Counter, Counter]]] = defaultdict(dict)
         size = 0
 
         def spilled() -> Iterator[pa.RecordBatch]:
-            for lang, postings in block.items():
-                cut: dict[int, list[bytes]] = defaultdict(list)
-                seed = xxhash.xxh32_intdigest(lang.encode())
-                for term in postings:
-                    cut[xxhash.xxh32_intdigest(term, seed) % shards].append(term)
-                for shard, terms in sorted(cut.items()):
-                    terms.sort()
-                    flat = [(t.decode(), s, *n) for t in terms for s, n in sorted(postings[t].items())]
-                    for at in range(0, len(flat), CHUNK):
-                        some = flat[at : at + CHUNK]
-                        row = (shard, lang, some[0][0], *map(list, zip(*some, strict=True)))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([c], f.type) for c, f in zip(row, schema, strict=True)], schema=schema
-                        )
+            for lang, groups in block.items():
+                for row in chunks_of(lang, groups, shards):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([c], f.type) for c, f in zip(row, RUN_SCHEMA, strict=True)], schema=RUN_SCHEMA
+                    )
             block.clear()
 
         for batch in batches:
@@ -103,19 +122,17 @@ def runs_of(docs: DataFrame, shards: int, block_bytes: int = BLOCK_BYTES) -> Dat
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
                 for lang, source, text in zip(*[c.to_pylist() for c in some.columns], strict=True):
-                    postings = block[lang]
-                    for term, n in terms_of(text).items():
-                        own = postings.get(term)
-                        if own is None:
-                            own = postings[term] = {}
-                            size += 400 + len(term)
-                        counts = own.get(source)
-                        if counts is None:
-                            own[source] = [n, 1]
-                            size += 200
-                        else:
-                            counts[0] += n
-                            counts[1] += 1
+                    own = block[lang].get(source)
+                    if own is None:
+                        own = block[lang][source] = Counter(), Counter()
+                    counts, found = own
+                    known = len(counts)
+                    distinct: set[bytes] = set()
+                    for terms in terms_of(text):
+                        counts.update(terms)
+                        distinct.update(terms)
+                    found.update(distinct)
+                    size += POSTING_BYTES * (len(counts) - known)
                     if size > block_bytes:
                         yield from spilled()
                         size = 0
@@ -124,6 +141,22 @@ def runs_of(docs: DataFrame, shards: int, block_bytes: int = BLOCK_BYTES) -> Dat
     return docs.select("lang", "source", "text").mapInArrow(run, RUN)
 
 
+class Chunk:
+    """A chunk that a merge has begun."""
+
+    def __init__(self, terms: str, sizes: bytes, sources: list[str], postings: bytes):
+        self.terms, self.sources = terms.split("\n"), sources
+        self.ends = np.cumsum(np.frombuffer(sizes, dtype="<i4"))
+        self.source, self.counts, docs = np.frombuffer(postings, dtype="<i8").reshape(3, -1)
+        self.docs = np.add.reduceat(docs, self.ends - np.frombuffer(sizes, dtype="<i4")).tolist()
+
+    def add_to(self, own: dict[str, int], at: int) -> None:
+        """Adds the occurrences of a term."""
+        begin = self.ends[at - 1] if at else 0
+        for s, n in zip(self.source[begin : self.ends[at]].tolist(), self.counts[begin : self.ends[at]].tolist(), strict=True):
+            own[self.sources[s]] = own.get(self.sources[s], 0) + n
+
+
 FREQUENCY = "lang string, term string, total bigint, sources array<string>, counts array<bigint>"
 
 
@@ -136,35 +169,39 @@ def merged(runs: DataFrame, shards: int, min_docs: int) -> DataFrame:
     dealt = runs.repartition(shards, "shard").sortWithinPartitions("shard", "lang", "first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Heap of (term, source, number of the chunk, place in it).
-        heap: list[tuple[str, str, int, int]] = []
-        chunks: dict[int, tuple[list, ...]] = {}
+        # Heap of (term, number of the chunk, place in it).
+        heap: list[tuple[str, int, int]] = []
+        chunks: dict[int, Chunk] = {}
         done: list[tuple] = []
+        # The term in hand: in how many documents so far, and where its postings are.
         term: str | None = None
-        own: dict[str, int] = {}
         found = 0
+        parts: list[tuple[Chunk, int]] = []
         here: tuple | None = None
 
         def settle() -> None:
-            nonlocal term, own, found
+            nonlocal term, parts, found
             if term is not None and found >= min_docs:
+                own: dict[str, int] = {}
+                for chunk, at in parts:
+                    chunk.add_to(own, at)
                 done.append((here[1], term, sum(own.values()), list(own), list(own.values())))
-            term, own, found = None, {}, 0
+            term, parts, found = None, [], 0
 
         def merge(before: str | None) -> None:
-            """Takes postings from the heap, those of terms ahead of ``before`` only."""
+            """Takes terms from the heap, those ahead of ``before`` only."""
             nonlocal term, found
             while heap and (before is None or heap[0][0] < before):
-                t, source, number, at = heap[0]
+                t, number, at = heap[0]
                 if t != term:
                     settle()
                     term = t
-                terms, sources, counts, docs = chunks[number]
-                own[source] = own.get(source, 0) + counts[at]
-                found += docs[at]
+                chunk = chunks[number]
+                found += chunk.docs[at]
+                parts.append((chunk, at))
                 at += 1
-                if at < len(terms):
-                    heapq.heapreplace(heap, (terms[at], sources[at], number, at))
+                if at < len(chunk.terms):
+                    heapq.heapreplace(heap, (chunk.terms[at], number, at))
                 else:
                     heapq.heappop(heap)
                     del chunks[number]
@@ -180,15 +217,15 @@ def merged(runs: DataFrame, shards: int, min_docs: int) -> DataFrame:
         number = 0
         for batch in batches:
             for i in range(batch.num_rows):
-                shard, lang, first, *lists = (c[i].as_py() for c in batch.columns)
+                shard, lang, first, *rest = (c[i].as_py() for c in batch.columns)
                 if here != (shard, lang):
                     merge(None)
                     settle()
                     here = (shard, lang)
                 merge(first)
                 number += 1
-                chunks[number] = lists
-                heapq.heappush(heap, (first, lists[1][0], number, 0))
+                chunks[number] = Chunk(*rest)
+                heapq.heappush(heap, (first, number, 0))
                 if len(done) >= 4096:
                     yield taken()
         merge(None)
