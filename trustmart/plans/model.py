@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustmart.operators import contracts, kpis, marts, quality, staging
+from trustmart.operators import contracts, cube, kpis, marts, quality, staging
 from trustmart.sources.layers import MARTS, STAGING, written
 
 Keep = Callable[[str, str, DataFrame], DataFrame]
@@ -41,6 +41,7 @@ WAVES = (
     ),
     ("dim_geography", "dim_products", "dim_dates", "fact_order_items", "order_keys"),
     ("dim_customers", "dim_sellers", "fact_orders"),
+    ("daily_cube",),
 )
 
 
@@ -129,6 +130,10 @@ class Model:
             self.stg_orders, self.order_lines, self.stg_order_payments, self.stg_order_reviews
         )
 
+    @_table(MARTS)
+    def daily_cube(self):
+        return cube.daily_cube(self.orders)
+
     # --- what the KPIs read ---
     # Over stored tables these are the marts themselves. In a lazy model they are the same rows
     # without the parts a KPI cannot need, so that nothing is computed only to be thrown away.
@@ -179,13 +184,18 @@ class Model:
         return marts.order_seller_performance(self.order_lines, self.orders)
 
     def headline(self) -> DataFrame:
-        return kpis.headline(self.orders)
+        return cube.headline(self.daily_cube) if self.keep else kpis.headline(self.orders)
+
+    def _of_periods(self, unit: str) -> DataFrame:
+        if self.keep:
+            return cube.period_kpis(self.daily_cube, unit)
+        return kpis.period_kpis(self.orders, unit)
 
     def monthly(self) -> DataFrame:
-        return kpis.period_kpis(self.orders, "month")
+        return self._of_periods("month")
 
     def weekly(self) -> DataFrame:
-        return kpis.period_kpis(self.orders, "week")
+        return self._of_periods("week")
 
     def active_customers(self) -> DataFrame:
         return kpis.active_customers(self.orders_of_people)
@@ -197,6 +207,8 @@ class Model:
         return kpis.seller_risk(self.order_lines, self.orders, self.sellers, min_orders)
 
     def delay_vs_reviews(self) -> DataFrame:
+        if self.keep:
+            return cube.delay_vs_reviews(self.daily_cube)
         return kpis.delay_vs_reviews(self.orders)
 
     def category_performance(self) -> DataFrame:

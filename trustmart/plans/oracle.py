@@ -345,7 +345,7 @@ CTES: dict[str, str] = {
 }
 
 
-def _kpis(on_time: str) -> str:
+def order_kpis_sql(on_time: str) -> str:
     return f"""count(*) AS total_orders,
         count(*) FILTER (is_revenue_eligible_order = 1) AS revenue_eligible_orders,
         sum(coalesce(item_gmv, 0))::DOUBLE AS gmv_all_orders,
@@ -357,11 +357,11 @@ def _kpis(on_time: str) -> str:
         avg(is_on_time_delivery) AS {on_time}"""
 
 
-CTES["kpi_headline"] = f"SELECT {_kpis('on_time_rate')} FROM fact_orders"
+CTES["kpi_headline"] = f"SELECT {order_kpis_sql('on_time_rate')} FROM fact_orders"
 for _unit in ("month", "week"):
     CTES[f"kpi_{_unit}ly"] = f"""
         SELECT date_trunc('{_unit}', order_purchase_ts)::DATE AS {_unit}_start,
-        {_kpis('on_time_delivery_rate')}
+        {order_kpis_sql('on_time_delivery_rate')}
         FROM fact_orders GROUP BY {_unit}_start"""
 
 

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from trustmart.functions.clean import blank_to_null, norm_lower, norm_upper, parse_ts, zip5
 from trustmart.functions.metrics import as_reported
-from trustmart.operators import contracts, dashboard, kpis, marts, monitors, quality, staging
+from trustmart.operators import contracts, cube, dashboard, kpis, marts, monitors, people, quality, staging
 from trustmart.operators.dedupe import asc_last, dedupe_keep_first, desc_last
 from trustmart.plans.model import Model
-from trustmart.plans.oracle import statement
+from trustmart.plans.oracle import order_kpis_sql, statement
 from trustmart.sources.adapter import DriverTables
 from trustmart.sources.layers import (
     KPI,
@@ -27,6 +27,7 @@ from trustmart.sources.layers import (
     export,
     require_single_row,
     shared_folder,
+    written,
 )
 from trustmart.sources.monthly import MonthlyFacts
 from trustmart.sources.raw import read_raw, register
@@ -731,6 +732,71 @@ def sliced_headline_by_month(m: Model) -> DataFrame:
     return kpis.headline(monitors.orders_of_customers(orders, chosen))
 
 
+# --- folded from stored sums and bitmaps ------------------------------------------------------
+
+
+def _cube(m: Model) -> DataFrame:
+    """The daily cube, stored: the reports below read nothing else."""
+    return written(m.daily_cube, "daily-cube")
+
+
+query("cube_headline", ORACLES["kpi_headline"])(lambda m: cube.headline(_cube(m)))
+query("cube_monthly", ORACLES["kpi_monthly"])(lambda m: cube.period_kpis(_cube(m), "month"))
+query("cube_weekly", ORACLES["kpi_weekly"])(lambda m: cube.period_kpis(_cube(m), "week"))
+query("cube_delay_vs_reviews", ORACLES["kpi_delay_vs_reviews"])(lambda m: cube.delay_vs_reviews(_cube(m)))
+query("cube_weekly_watch", ORACLES["weekly_watch"])(lambda m: cube.weekly_watch(_cube(m)))
+query(
+    "cube_levels",
+    "\nUNION ALL\n".join(
+        [
+            *[
+                f"SELECT '{unit}' AS level, date_trunc('{unit}', order_purchase_ts)::DATE AS period_start,"
+                f" NULL AS delay_bucket, {order_kpis_sql('on_time_delivery_rate')} FROM delays GROUP BY 2"
+                for unit in cube.UNITS
+            ],
+            f"SELECT 'bucket', NULL, delay_bucket, {order_kpis_sql('on_time_delivery_rate')} FROM delays"
+            " GROUP BY delay_bucket",
+        ]
+    ),
+)(lambda m: cube.levels(_cube(m)))
+
+
+def _bitmaps(m: Model) -> DataFrame:
+    """Month bitmaps of all orders, made from two batches; the second brings people of its own."""
+    orders = m.orders_of_people.select("order_purchase_ts", "customer_unique_id")
+    active = written(people.activity(orders), "activity")
+    late = F.year("month_start") >= 1995
+    batches = active.filter(~F.coalesce(late, F.lit(True))), active.filter(F.coalesce(late, F.lit(True)))
+    # One number reaches the driver.
+    parts = people.parts_for(active.filter("person is not null").count())
+    numbers = written(people.numbered(batches[0], "person", parts), "numbers")
+    more = written(people.numbered(batches[1], "person", parts, numbers), "more-numbers")
+    maps = [people.month_bitmaps(part, known) for part, known in zip(batches, (numbers, more), strict=True)]
+    return written(people.merged(maps[0].unionByName(maps[1])), "bitmaps")
+
+
+@query(
+    "active_customers_by_unit",
+    "\nUNION ALL\n".join(
+        f"SELECT '{unit}' AS unit, date_trunc('{unit}', order_purchase_ts)::DATE AS period_start,"
+        " count(DISTINCT customer_unique_id) AS active_customers FROM fact_orders GROUP BY period_start"
+        for unit in ("month", "quarter", "year")
+    ),
+)
+def active_customers_by_unit(m: Model) -> DataFrame:
+    """Distinct customers of months, quarters and years, folded from one set of month bitmaps."""
+    maps = _bitmaps(m)
+
+    def of(unit: str) -> DataFrame:
+        rows = people.active_customers(maps, unit).withColumnRenamed(f"{unit}_start", "period_start")
+        return rows.select(F.lit(unit).alias("unit"), "period_start", "active_customers")
+
+    return of("month").unionByName(of("quarter")).unionByName(of("year"))
+
+
+query("repeat_rate_by_bitmaps", ORACLES["repeat_customer_rate"])(lambda m: people.repeat_rate(_bitmaps(m)))
+
+
 # --- access ---------------------------------------------------------------------------------
 
 
