@@ -80,6 +80,10 @@ def publish(
     and in one task where it is multi-line. The run's tables are registered in the databases
     ``<prefix>raw``, ``<prefix>staging`` and ``<prefix>marts``.
 
+    Of two runs that are going on at once the first to finish is released; the other raises
+    ``StaleCommit`` and leaves names and files as they are. Names follow the log's entry: a driver lost
+    in between leaves them behind it, and ``PublicationLog.name_tables`` catches up.
+
     Both facts are stored in ``buckets`` (by default as many as the session's shuffle partitions) by
     order id, so that the reports and contracts that bring them together shuffle neither of them. Item
     facts are stored plainly where one order has more than ``most_lines`` lines, as these would fill one
@@ -88,6 +92,7 @@ def publish(
     log = PublicationLog(spark, root)
     if log.is_released(run_id):
         raise ValueError(f"run {run_id} is released and cannot be written again")
+    before = log.newest()
     layers = Layers(spark, log.run_path(run_id), prefix).create()
     kept: dict[tuple[str, str], Buckets | None] = {}
     seen: dict[str, DataFrame] = {}
@@ -161,11 +166,13 @@ def publish(
     store(MONITORS, {"monitor_status": lambda: monitors.monitor_status(*seen)})
 
     # Nothing of this run is to be seen before here.
-    for (layer, name), layout_of in kept.items():
-        layers.register(layer, name, layout_of)
+    tables = {f"{layer}/{name}": layout_of for (layer, name), layout_of in kept.items()}
+    tables |= {f"{KPI}/{name}": None for name in reports} | {f"{PAGES}/{name}": None for name in page_data}
+    tables |= {f"{MONITORS}/{name}": None for name in (*watched, "monitor_status")}
+    log.release(run_id, note or caveat(summary), before.number if before else 0, tables)
+    log.name_tables(prefix)
     facts = [spark.table(f"{layers.database(MARTS)}.{t}") for t in ("fact_order_items", "fact_orders")]
     register(order_seller_performance(*facts), "vw_order_seller_performance")
-    log.release(run_id, note or caveat(summary))
     if csv_path:
         folder = csv_path.rstrip("/")
         files = [

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import UTC, datetime
 from functools import cache
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from trustmart.sources.versions import StaleCommit, VersionFiles
+
 RAW, STAGING, MARTS, KPI = "raw", "staging", "marts", "kpi"
 CONTRACTS, PAGES, MONITORS = "contracts", "pages", "monitors"
 
@@ -187,12 +190,33 @@ def require_single_row(df: DataFrame) -> DataFrame:
     return rows.select(row.alias("row")).select("row.*")
 
 
+@dataclass(frozen=True)
+class Release:
+    """A released run, the tables it consists of by ``layer/name``, and how these are dealt out."""
+
+    run_id: str
+    number: int
+    published_at: str
+    note: str | None
+    tables: Mapping[str, Buckets | None]
+
+    def as_dict(self) -> dict:
+        dealt_out = {t: b and [b.key, b.count] for t, b in self.tables.items()}
+        return {**vars(self), "tables": dealt_out}
+
+    @classmethod
+    def of(cls, entry: dict) -> Release:
+        return cls(**{**entry, "tables": {t: b and Buckets(*b) for t, b in entry["tables"].items()}})
+
+
 @dataclass(frozen=True)
 class PublicationLog:
-    """Append-only log of released runs: readers follow its newest entry.
+    """Releases under one root: readers follow the newest.
 
-    A run becomes visible by one appended row after everything else is written, so a job that dies
-    half-way leaves the previous release in place.
+    The log is a list of small files, each of which holds all releases that are kept and is created by
+    one writer only. A run becomes visible by one such file after everything else is written, so a job
+    that dies half-way leaves the previous release in place, and of two runs that have started from
+    the same release only one is released.
     """
 
     spark: SparkSession
@@ -205,42 +229,127 @@ class PublicationLog:
     def run_path(self, run_id: str) -> str:
         return f"{self.root.rstrip('/')}/runs/{run_id}"
 
-    def release(self, run_id: str, note: str | None = None) -> None:
-        """Makes a run the newest one. ``note`` says what its readers should be warned of."""
-        entry = self.spark.range(1).select(
-            F.lit(run_id).alias("run_id"),
-            F.current_timestamp().alias("published_at"),
-            F.lit(note).cast("string").alias("note"),
-        )
-        entry.write.mode("append").parquet(self.path)
-
-    def _entries(self) -> DataFrame | None:
-        columns = "run_id string, published_at timestamp, note string"
-        try:
-            return self.spark.read.schema(columns).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+    def _state(self, to_write: bool = False) -> tuple[int, list[Release], list[str]]:
+        """Newest version, releases kept, oldest first, and runs that have been expired."""
+        version, text = VersionFiles(self.spark, self.path).newest(to_write)
+        state = json.loads(text) if text else {"releases": [], "gone": []}
+        return version, [Release.of(r) for r in state["releases"]], state["gone"]
+
+    def _commit(self, change: Callable[[list[Release], list[str]], tuple[list[Release], list[str]]]) -> None:
+        """Puts the changed state after the newest one; ``change`` is asked again if somebody else has
+        been faster, and raises where the change is not possible any more."""
+        while True:
+            version, releases, gone = self._state(to_write=True)
+            kept, expired = change(releases, gone)
+            text = json.dumps({"releases": [r.as_dict() for r in kept], "gone": expired})
+            try:
+                return VersionFiles(self.spark, self.path).create(version + 1, text)
+            except StaleCommit:
+                continue
+
+    def release(
+        self,
+        run_id: str,
+        note: str | None = None,
+        after: int | None = None,
+        tables: Mapping[str, Buckets | None] | None = None,
+    ) -> None:
+        """Makes a run the newest one. ``note`` says what its readers should be warned of.
+
+        With ``after``, the number of the release that the run has started from, raises ``StaleCommit``
+        if another run has been released since. ``tables`` names what the run consists of; a table that
+        is not there fails the release.
+        """
+        for table in tables or ():
+            fs, folder = self._folder(f"{self.run_path(run_id)}/{table}")
+            if not fs.exists(folder):
+                raise FileNotFoundError(f"run {run_id} has no {table}")
+        now = datetime.now(UTC).isoformat(timespec="microseconds")
+
+        def added(releases: list[Release], gone: list[str]) -> tuple[list[Release], list[str]]:
+            number = releases[-1].number if releases else 0
+            if after is not None and number != after:
+                raise StaleCommit(f"run {run_id} has started from release {after}, the newest is {number}")
+            if run_id in gone or any(r.run_id == run_id for r in releases):
+                raise ValueError(f"run {run_id} has been released or expired")
+            return [*releases, Release(run_id, number + 1, now, note, dict(tables or {}))], gone
+
+        self._commit(added)
+
+    def expire(self, keep: int, unfinished_before: datetime | None = None) -> list[str]:
+        """Removes the files of all releases but the newest ``keep``, and of runs that were blocked or
+        lost: not released, nothing written since ``unfinished_before``. Returns the runs removed.
+
+        What goes is first struck off the log; a run that is being released meanwhile is either kept or
+        fails its release. Readers of a release that goes lose its files.
+        """
+        if keep < 1:
+            raise ValueError("the newest release stays")
+        found = self._unfinished(unfinished_before) if unfinished_before else []
+        going: list[str] = []
+
+        def struck(releases: list[Release], gone: list[str]) -> tuple[list[Release], list[str]]:
+            kept = releases[-keep:]
+            stays = {r.run_id for r in releases}
+            going[:] = [r.run_id for r in releases[:-keep]] + [run for run in found if run not in stays]
+            return kept, [*gone, *(run for run in going if run not in gone)]
+
+        self._commit(struck)
+        for run in going:
+            fs, folder = self._folder(self.run_path(run))
+            fs.delete(folder, True)
+        return going
+
+    def _folder(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _unfinished(self, before: datetime) -> list[str]:
+        """Runs in the runs' folder that have no file written at ``before`` or later."""
+        fs, folder = self._folder(self.run_path(""))
+        if not fs.exists(folder):
+            return []
+        limit = before.timestamp() * 1000
+
+        def newest(path) -> int:
+            files, last = fs.listFiles(path, True), 0
+            while files.hasNext():
+                last = max(last, files.next().getModificationTime())
+            return last
+
+        runs = [f for f in fs.listStatus(folder) if f.isDirectory()]
+        return [r.getPath().getName() for r in runs if max(newest(r.getPath()), r.getModificationTime()) < limit]
+
+    def releases(self) -> list[Release]:
+        """All releases that are kept, oldest first."""
+        return self._state()[1]
+
+    def newest(self) -> Release | None:
+        releases = self.releases()
+        return releases[-1] if releases else None
 
     def is_released(self, run_id: str) -> bool:
-        entries = self._entries()
-        return entries is not None and not entries.filter(F.col("run_id") == run_id).isEmpty()
+        return any(r.run_id == run_id for r in self.releases())
 
     def latest(self) -> str | None:
-        """Run id of the newest release; one row reaches the driver."""
-        entries = self._entries()
-        if entries is None:
-            return None
-        return entries.agg(F.max_by("run_id", "published_at").alias("run_id")).first()["run_id"]
+        """Run id of the newest release."""
+        newest = self.newest()
+        return newest and newest.run_id
 
     def note(self, run_id: str) -> str | None:
-        """The note a run was released with; one row reaches the driver."""
-        entries = self._entries()
-        if entries is None:
-            return None
-        mine = entries.filter(F.col("run_id") == run_id)
-        return mine.agg(F.max_by("note", "published_at").alias("note")).first()["note"]
+        """The note a run was released with."""
+        return next((r.note for r in self.releases() if r.run_id == run_id), None)
+
+    def name_tables(self, prefix: str) -> None:
+        """Lets the names in the catalogue stand for the newest release, whichever run that is by now."""
+        newest = self.newest()
+        if newest is None:
+            return
+        layers = Layers(self.spark, self.run_path(newest.run_id), prefix)
+        for table, buckets in newest.tables.items():
+            layer, _, name = table.partition("/")
+            if layer in (RAW, STAGING, MARTS):
+                layers.register(layer, name, buckets)
 
     def read_kpi(self, name: str) -> DataFrame:
         """A KPI table of the newest released run."""

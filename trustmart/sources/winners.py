@@ -4,18 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustmart.operators.dedupe import asc_last
 from trustmart.operators.staging import Rule
+from trustmart.sources.versions import StaleCommit, VersionFiles
 
-BUCKET = "__bucket"
-
+__all__ = ["KeyedWinners", "StaleCommit", "merged_in_batches"]
 
-class StaleCommit(RuntimeError):
-    """Another commit has come first; read the state anew and try again."""
+BUCKET = "__bucket"
 
 
 class KeyedWinners:
@@ -36,39 +34,25 @@ class KeyedWinners:
     def __init__(self, spark: SparkSession, root: str, schema, rule: Rule, buckets: int = 64):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.rule, self.buckets = rule, buckets
+        self.manifest = VersionFiles(spark, f"{self.root}/manifest")
 
     # --- manifest ---
 
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _manifest(self, version: int) -> str:
-        return f"{self.root}/manifest/v{version:09d}.txt"
-
     def version(self) -> int:
-        fs, folder = self._fs(f"{self.root}/manifest")
-        if not fs.exists(folder):
-            return 0
-        names = [f.getPath().getName() for f in fs.listStatus(folder)]
-        return max((int(n[1:10]) for n in names if n.startswith("v")), default=0)
+        return self.manifest.newest()[0]
 
     def state(self) -> tuple[int, dict[int, int], list[str]]:
-        """Newest version; the version whose folder holds each bucket; the batches that are in.
+        """Newest version; the version whose folder holds each bucket; the batches that are in. A commit
+        that is being written is waited for.
 
         As many entries as there are buckets and batches reach the driver.
         """
-        version = self.version()
-        if not version:
-            return 0, {}, []
-        fs, path = self._fs(self._manifest(version))
-        stream = fs.open(path)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
+        return self._state(to_write=True)
+
+    def _state(self, to_write: bool) -> tuple[int, dict[int, int], list[str]]:
+        version, text = self.manifest.newest(to_write)
         where, batches = {}, []
-        for line in text.splitlines():
+        for line in (text or "").splitlines():
             kind, _, rest = line.partition(" ")
             if kind == "bucket":
                 bucket, _, at = rest.partition(" ")
@@ -79,15 +63,7 @@ class KeyedWinners:
 
     def _publish(self, version: int, where: dict[int, int], batches: list[str]) -> None:
         lines = [f"bucket {b} {v}" for b, v in sorted(where.items())] + [f"batch {b}" for b in batches]
-        fs, path = self._fs(self._manifest(version))
-        try:
-            stream = fs.create(path, False)
-        except Py4JJavaError as error:
-            if fs.exists(path):
-                raise StaleCommit(f"version {version} has been committed by somebody else") from error
-            raise
-        stream.write(bytearray("\n".join(lines).encode("utf-8")))
-        stream.close()
+        self.manifest.create(version, "\n".join(lines))
 
     # --- rows ---
 
@@ -99,7 +75,7 @@ class KeyedWinners:
 
     def rows(self) -> DataFrame:
         """The winners of all batches so far."""
-        return self._read(self.state()[1])
+        return self._read(self._state(to_write=False)[1])
 
     def commit(self, batch_id: str, batch: DataFrame) -> bool:
         """Merges a batch of rows of ``schema``; False if a batch of that name is in already."""
