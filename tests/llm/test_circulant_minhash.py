@@ -79,6 +79,52 @@ def test_other_settings(spark, corpus):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == expected(corpus, 3, 70)
 
 
+@pytest.fixture(scope="module")
+def cloud():
+    """Edits of one passage, most of them too many for two of them to link, and a few with fewer."""
+    rng = np.random.default_rng(11)
+    base = words(rng, 300)
+    texts = [edited(rng, base, int(rng.choice([2, 4, 5, 6, 7, 8]))) for _ in range(160)]
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_a_cloud_of_near_copies(spark, cloud):
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in op.near_duplicates(spark.createDataFrame(cloud, DOC)).collect()}
+    assert found == expected(cloud) and 10 < len({c for _, c in found.values()}) < 150
+
+
+@pytest.mark.parametrize("pivot", [None, 0, 159, 1000])
+def test_few_pairs_of_a_cloud_meet_and_none_that_links_is_lost(spark, cloud, pivot, monkeypatch):
+    """No component is known. Also with one of the documents, or a stranger, as the pivot."""
+    rows = [*cloud, (1000, " ".join(f"x{i}" for i in range(250)))]
+    sets = {d: set(shingles(t, 5).tolist()) for d, t in rows}
+    docs = spark.createDataFrame(rows, DOC)
+    table = op.whole_sets(docs, 5).cache()
+    if pivot is not None:
+        one = table.filter(F.col("doc_id") == pivot).select(F.lit(0).cast("bigint").alias("__pivot"), F.col("tokens").alias("y"))
+        monkeypatch.setattr(op, "consensus", lambda *_: one)
+    placed = docs.select(
+        F.lit(0).cast("bigint").alias("pivot"),
+        F.col("doc_id").alias("node"),
+        F.col("doc_id").alias("component"),
+        F.lit(-1).cast("bigint").alias("top"),
+    )
+    met = {(r.a, r.b) for r in op.meeting(op.differences(placed, table, 85).cache(), 85).collect()}
+
+    def parts(links) -> list:
+        root = list(range(1001))
+        for a, b in links:
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+        return root
+
+    pairs = [(a, b) for a in sets for b in sets if a < b]
+    links = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    assert links and parts(links) == parts([p for p in links if p in met])
+    if pivot is None:
+        assert len(met) < len(links) + 0.05 * len(pairs)
+
+
 def test_signatures_agree_as_often_as_sets_do():
     rng = np.random.default_rng(1)
     errors = []

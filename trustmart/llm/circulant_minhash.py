@@ -11,10 +11,16 @@ classes that agree in a band share a bucket:
 
 1. each bucket links its documents to one of them; pairs whose signatures are far from the threshold
    go, the others are compared by their whole sets;
-2. what is linked is one component. In buckets that still hold several, all but the documents of the
-   largest component are paired with those of other components, so a group of very many copies and a
-   few strangers cost as many pairs as there are copies times strangers;
-3. these pairs are verified, too, and the components put together.
+2. what is linked is one component. Documents of a bucket that still holds several are written as what
+   they differ in from a pivot, the shingles that most of a few of them have. Two sets that link and are far
+   from the pivot differ from it in common shingles; how many is known from sizes, so documents of
+   different components meet at shingles early in one order of the differences. Documents so near the
+   pivot that nothing need be common all link to the nearest of them. Any set could be the pivot; with
+   a good one fewer documents meet;
+3. what met is verified, too, and the components put together.
+
+A cloud of near copies, each with edits of its own, so costs rows as there are documents and not as
+there are pairs: the edits come first in the order, and no other document has them.
 
 No bucket is capped and no pair of different components that share a bucket is left out. Links are
 exact, since they are taken from whole sets; a pair at a similarity of just 0.85 is missed by all bands
@@ -35,6 +41,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trustmart.llm.common import ship, stored
@@ -52,6 +59,8 @@ AT_ONCE = 2048
 #: A pair goes to verification if at least this share of the coordinates agrees. At a similarity of
 #: 0.85 the share spreads by 0.026, so 0.70 is more than five times that below.
 SLACK = 0.15
+#: Documents from which a pivot is made. No link depends on it.
+VOTERS = 9
 
 
 @cache
@@ -149,13 +158,17 @@ def _sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     return pairs.select("a", "b", "x", "y")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
-    """Pairs (a, b) of a written table that link by their whole sets. Sets are worked out for the
-    documents of these pairs only; sets move for pairs with like signatures only."""
+def sets_of(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """Whole sets of the documents of these pairs, one row for each text of an id."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("__node")).distinct()
     nodes = stored(nodes, "pair-nodes")
     texts = _narrow(docs).join(nodes, F.col("doc_id") == F.col("__node"), "left_semi")
-    sets = stored(whole_sets(texts.distinct(), size), "whole-sets")
+    return stored(whole_sets(texts.distinct(), size), "whole-sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of a written table that link by their whole sets. Sets move for pairs with like
+    signatures only."""
     near = _agreeing(_sides(pairs, sets, "least"), threshold / 100 - SLACK).distinct()
     near = stored(near, "near-pairs")
     both = _sides(near, sets, "tokens")
@@ -164,6 +177,90 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> Da
     return both.filter(alike).select("a", "b").distinct()
 
 
+def consensus(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """(__pivot, y): shingles that more than half of at most ``VOTERS`` documents of a pivot have."""
+    schema = pa.schema([("__pivot", pa.int64()), ("y", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most = []
+            for voters in batch.column(1):
+                found, votes = np.unique(voters.values.flatten().to_numpy(), return_counts=True)
+                most.append(found[2 * votes > len(voters)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(most, schema[1].type)], schema=schema)
+
+    # Spark limits the ranks before it shuffles.
+    by_chance = F.row_number().over(W.partitionBy("pivot").orderBy(F.xxhash64("node"), "node"))
+    voters = placed.select("pivot", "node").distinct().withColumn("nth", by_chance).filter(F.col("nth") <= VOTERS)
+    # An id with several texts votes with one of them.
+    x = sets.select(F.col("doc_id").alias("node"), F.col("tokens"))
+    voters = voters.join(x, "node").groupBy("pivot", "node").agg(F.max("tokens").alias("x"))
+    return voters.groupBy("pivot").agg(F.collect_list("x")).mapInArrow(run, "__pivot bigint, y array<bigint>")
+
+
+def differences(placed: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """(pivot, node, component, top, n, s, rank, first) for rows (pivot, node, component, top): n is the
+    size of the node's set, s how many shingles are in only one of it and the pivot's.
+
+    ``rank`` is (100 + threshold) * s - (100 - threshold) * n: two documents whose ranks sum to no more
+    than 0 link whatever they differ in. ``first`` holds the first of these shingles, as many as any
+    link can need: the document's own ones by value, then those it lacks.
+    """
+    at = ["pivot", "node", "component", "top"]
+    big = pa.int64()
+    schema = pa.schema([*((c, big) for c in at), ("n", big), ("s", big), ("rank", big), ("first", pa.list_(big))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for *keys, x, y in zip(*(batch.column(i) for i in range(6)), strict=True):
+                own, pivot = (np.sort(v.values.to_numpy()) for v in (x, y))
+                more, less = np.setdiff1d(own, pivot, True), np.setdiff1d(pivot, own, True)
+                n, s = len(own), len(more) + len(less)
+                first = np.concatenate((more, less))[: n * (100 - threshold) // threshold + 1]
+                rank = (100 + threshold) * s - (100 - threshold) * n
+                rows.append((*(k.as_py() for k in keys), n, s, rank, first))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
+                )
+
+    pivots = stored(consensus(placed, sets), "consensus")
+    own = sets.filter(F.size("tokens") > 0).select(F.col("doc_id").alias("node"), F.col("tokens").alias("x"))
+    both = lookup(placed.join(own, "node"), pivots, "pivot", "__pivot", "inner").select(*at, "x", "y")
+    ddl = ", ".join(f"{c} bigint" for c in (*at, "n", "s", "rank"))
+    return both.mapInArrow(run, f"{ddl}, first array<bigint>")
+
+
+def meeting(differing: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of different components that may link: all that do and share a pivot are among
+    them, or are joined by others that are. ``differing`` is a written table of :func:`differences`."""
+    nearest = differing.groupBy("pivot").agg(F.min(F.struct("rank", "node", "component")).alias("m"))
+    sure = lookup(differing, nearest.withColumnRenamed("pivot", "__pivot"), "pivot", "__pivot", "inner")
+    sure = sure.filter((F.col("rank") + F.col("m.rank") <= 0) & (F.col("component") != F.col("m.component")))
+    sure = sure.select(*_pair("node", "m.node"))
+
+    shingle = differing.select("*", F.posexplode("first").alias("place", "shingle")).drop("first")
+    x, y = shingle.filter("component <> top").alias("x"), shingle.alias("y")
+    both = F.col("x.rank") + F.col("y.rank")
+    common = F.ceil(both / (2 * (100 + threshold)))
+    # A pair of two strangers comes up from both sides; one of them is enough.
+    once = (F.col("y.component") == F.col("y.top")) | (F.col("x.node") < F.col("y.node"))
+    met = x.join(
+        y,
+        (F.col("x.pivot") == F.col("y.pivot"))
+        & (F.col("x.shingle") == F.col("y.shingle"))
+        & (F.col("x.component") != F.col("y.component"))
+        & once
+        & (both > 0)
+        & (F.col("x.place") <= F.col("x.s") - common)
+        & (F.col("y.place") <= F.col("y.s") - common)
+        & (threshold * F.col("x.n") <= 100 * F.col("y.n"))
+        & (threshold * F.col("y.n") <= 100 * F.col("x.n")),
+    )
+    return met.select(*_pair("x.node", "y.node")).unionByName(sure).distinct()
+
+
 def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -190,22 +287,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 85) -> Data
 
     stars = buckets.filter("node <> centre").select(*_pair("node", "centre")).distinct()
     stars = stored(stars, "star-pairs")
-    links = stored(verified(stars, docs, size, threshold).unionByName(own), "star-links")
+    whole_ones = sets_of(stars, docs, size)
+    links = stored(verified(stars, whole_ones, threshold).unionByName(own), "star-links")
     joined = stored(components(links), "joined")
 
     component = F.coalesce("component", "node").alias("component")
     buckets = stored(buckets.join(joined, "node", "left").select("key", "node", component), "bucket-components")
     # Of each bucket: the largest of its components, if it has more than one.
-    counted = buckets.groupBy("key", "component").agg(F.count("*").alias("n"))
+    counted = buckets.groupBy("key", "component").agg(F.count("*").alias("n"), F.min("node").alias("node"))
     largest = counted.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("top"))
     mixed = largest.filter("parts > 1").select(F.col("key").alias("__key"), F.col("top.component").alias("top"))
-    mixed = stored(lookup(buckets, mixed, "key", "__key", "inner"), "mixed")
-    left, right = mixed.filter("component <> top").alias("l"), mixed.alias("r")
-    # A pair of two strangers comes up from both sides; one of them is enough.
-    once = (F.col("r.component") == F.col("r.top")) | (F.col("l.node") < F.col("r.node"))
-    rest = left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.component") != F.col("r.component")) & once)
-    rest = rest.select(*_pair("l.node", "r.node")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = stored(verified(stored(rest, "rest"), docs, size, threshold), "more-links")
+    # Buckets with the same largest component share a pivot, so that they are gone through once.
+    pivots = counted.groupBy(F.col("component").alias("__top")).agg(F.min("node").alias("pivot"))
+    mixed = lookup(buckets, mixed, "key", "__key", "inner").select("node", "component", "top").distinct()
+    placed = stored(lookup(mixed, pivots, "top", "__top", "inner"), "placed")
+    differing = stored(differences(placed, whole_ones, threshold), "differing")
+    rest = meeting(differing, threshold).join(stars, ["a", "b"], "left_anti")
+    more = stored(verified(stored(rest, "rest"), whole_ones, threshold), "more-links")
     final = stored(components(links.unionByName(more)), "final")
 
     labels = classes.drop("keys").join(final, "node", "left").select(*whole, component)
