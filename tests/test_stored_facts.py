@@ -15,7 +15,7 @@ from tests.shop import raw_tables, shop
 from trustmart.operators import contracts, kpis, monitors
 from trustmart.plans import registry
 from trustmart.plans.publish import publish
-from trustmart.sources.layers import Buckets, Layers, PublicationLog, dealt, written_observed
+from trustmart.sources.layers import Buckets, Layers, PublicationLog, dealt, overfull, written_observed
 
 
 @pytest.fixture(scope="module")
@@ -65,6 +65,40 @@ def test_a_working_name_is_gone_and_its_plan_still_reads(spark, tmp_path):
     assert "Num Buckets" in {r.col_name for r in spark.sql("DESCRIBE EXTENDED gone_marts.t").collect()}
 
 
+def _exchanges(df) -> list[str]:
+    """What is shuffled by hash, as the plan says before it runs."""
+    return re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_rows_dealt_by_order_are_shuffled_once(spark):
+    """De-duplication, roll-ups and joins by order share one shuffle of orders, items and payments each."""
+    by_order = Buckets("order_id", 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = shop(spark)
+        by = plain.dealt_by_order(lambda df: dealt(df, by_order), by_order.count)
+        assert len(_exchanges(by.fact_order_items)) == 2 and len(_exchanges(plain.fact_order_items)) == 4
+        # Reviews are de-duplicated by their own key first.
+        assert len(_exchanges(by.orders)) == 5 and len(_exchanges(plain.orders)) > 5
+        assert bag(by.fact_order_items) == bag(plain.fact_order_items) and bag(by.orders) == bag(plain.orders)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_an_order_of_too_many_rows_is_not_dealt_by_order(spark):
+    one = [(f"o{i}",) for i in range(400)]
+    hot = frame(spark, "order_id string", *one, *[("hot",)] * 900)
+    assert 700 < overfull([frame(spark, "order_id string", *one), hot], "order_id", 8) < 900
+    assert overfull([hot.limit(0)], "order_id", 8) == 0
+    model = registry.model_over(spark, SMALL)
+    assert model.dealt_by_order(lambda df: df, 4, most_lines=0) is model
+    items, orders = registry._facts_by_order(model, most_lines=0)
+    assert bag(items) == bag(model.fact_order_items) and bag(orders.drop("avg_review_score")) == bag(
+        model.orders.drop("avg_review_score")
+    )
+
+
 def test_an_order_of_too_many_lines_leaves_the_item_facts_plain(spark, tmp_path):
     publish(spark, raw_tables(spark).__getitem__, str(tmp_path), "run-1", prefix="plain_", buckets=3, most_lines=1)
     details = lambda t: {r.col_name for r in spark.sql(f"DESCRIBE EXTENDED plain_marts.{t}").collect()}

@@ -106,12 +106,14 @@ def with_item_gmv(items: DataFrame) -> DataFrame:
     return items.withColumn("gmv", F.col("price") + F.col("freight_value"))
 
 
-def fact_order_items(stg_items: DataFrame, stg_orders: DataFrame) -> DataFrame:
-    """Items of known orders, with GMV and purchase date."""
+def fact_order_items(stg_items: DataFrame, stg_orders: DataFrame, in_place: bool = False) -> DataFrame:
+    """Items of known orders, with GMV and purchase date. ``in_place``: both are dealt by order already."""
     orders = stg_orders.select(
         F.col("order_id").alias("__order"), "customer_id", "order_status", "order_purchase_ts"
     )
-    return lookup(with_item_gmv(stg_items), orders, "order_id", "__order", "inner").select(
+    items = with_item_gmv(stg_items)
+    known = with_orders(items, orders) if in_place else lookup(items, orders, "order_id", "__order", "inner")
+    return known.select(
         "order_id",
         "order_item_id",
         "customer_id",

@@ -22,6 +22,10 @@ from trustmart.functions.clean import (
 from trustmart.operators.dedupe import asc_last, dedupe_keep_first, desc_last
 
 
+#: Deals rows to tasks before duplicates go.
+Deal = Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Rule:
     """Which row of a key stays: the first under ``order``."""
@@ -29,8 +33,11 @@ class Rule:
     keys: tuple[str, ...]
     order: Callable[[], list[Column]]
 
-    def winners(self, df: DataFrame) -> DataFrame:
-        return dedupe_keep_first(df, self.keys, self.order())
+    def winners(self, df: DataFrame, deal: Deal | None = None) -> DataFrame:
+        """The winners. ``deal`` may deal the rows by a part of the key: then what is grouped or joined by
+        that part later is in place already, but copies of a row are shuffled with it, and sorted once
+        instead of twice."""
+        return dedupe_keep_first(deal(df) if deal else df, self.keys, self.order())
 
 
 #: The rules of the staging tables that keep one row per key.
@@ -73,7 +80,7 @@ RULES = {
 }
 
 
-def stage_orders(raw_orders: DataFrame) -> DataFrame:
+def stage_orders(raw_orders: DataFrame, deal: Deal | None = None) -> DataFrame:
     """One row per order; the latest purchase wins."""
     typed_orders = raw_orders.select(
         text("order_id").alias("order_id"),
@@ -85,10 +92,10 @@ def stage_orders(raw_orders: DataFrame) -> DataFrame:
         parse_ts("order_delivered_customer_date").alias("delivered_customer_ts"),
         parse_ts("order_estimated_delivery_date").alias("estimated_delivery_ts"),
     )
-    return RULES["stg_orders"].winners(typed_orders)
+    return RULES["stg_orders"].winners(typed_orders, deal)
 
 
-def stage_order_items(raw_items: DataFrame, money=MONEY) -> DataFrame:
+def stage_order_items(raw_items: DataFrame, money=MONEY, deal: Deal | None = None) -> DataFrame:
     """One row per order line; the latest shipping limit wins, then seller, product, dearest."""
     typed_items = raw_items.select(
         text("order_id").alias("order_id"),
@@ -99,10 +106,10 @@ def stage_order_items(raw_items: DataFrame, money=MONEY) -> DataFrame:
         typed("price", money).alias("price"),
         typed("freight_value", money).alias("freight_value"),
     )
-    return RULES["stg_order_items"].winners(typed_items)
+    return RULES["stg_order_items"].winners(typed_items, deal)
 
 
-def stage_order_payments(raw_payments: DataFrame, money=MONEY) -> DataFrame:
+def stage_order_payments(raw_payments: DataFrame, money=MONEY, deal: Deal | None = None) -> DataFrame:
     """One row per payment of an order; the highest value wins."""
     typed_payments = raw_payments.select(
         text("order_id").alias("order_id"),
@@ -111,7 +118,7 @@ def stage_order_payments(raw_payments: DataFrame, money=MONEY) -> DataFrame:
         typed("payment_installments", "int").alias("payment_installments"),
         typed("payment_value", money).alias("payment_value"),
     )
-    return RULES["stg_order_payments"].winners(typed_payments)
+    return RULES["stg_order_payments"].winners(typed_payments, deal)
 
 
 def stage_order_reviews(raw_reviews: DataFrame) -> DataFrame:

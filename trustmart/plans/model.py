@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trustmart.operators import contracts, cube, kpis, marts, quality, staging
-from trustmart.sources.layers import MARTS, STAGING, written
+from trustmart.sources.layers import MARTS, STAGING, overfull, written
 
 Keep = Callable[[str, str, DataFrame], DataFrame]
+#: Lines of one order, all of which one task holds, that item facts are still dealt by order for.
+MOST_LINES = 5_000_000
 
 
 def _table(layer: str):
@@ -51,25 +53,40 @@ class Model:
     Without ``keep`` every table is a lazy plan and a query computes just what it reads. With
     ``keep`` (a function that stores a table and returns the stored one) each staging and mart
     table is written once and later tables read it back, which also cuts the lineage.
+
+    With ``deal`` (a function that deals rows by order id) orders, items and payments are dealt before
+    their duplicates go, so that each is shuffled once for de-duplication, roll-ups and joins by order.
     """
 
-    def __init__(self, raw: Callable[[str], DataFrame], keep: Keep | None = None):
+    def __init__(
+        self, raw: Callable[[str], DataFrame], keep: Keep | None = None, deal: staging.Deal | None = None
+    ):
         self.raw = raw
         self.keep = keep
+        self.deal = deal
+
+    def dealt_by_order(self, deal: staging.Deal, parts: int, most_lines: int = MOST_LINES) -> Model:
+        """A lazy model over the same raw tables whose rows are dealt by order; this model itself where
+        an order has so many rows, or copies of rows, that the fullest of ``parts`` tasks would hold more
+        than ``most_lines`` above the mean. Order ids are read for that."""
+        tables = ("orders", "order_items", "order_payments")
+        if overfull([self.raw(name) for name in tables], "order_id", parts) > most_lines:
+            return self
+        return Model(self.raw, deal=deal)
 
     # --- staging ---
 
     @_table(STAGING)
     def stg_orders(self):
-        return staging.stage_orders(self.raw("orders"))
+        return staging.stage_orders(self.raw("orders"), deal=self.deal)
 
     @_table(STAGING)
     def stg_order_items(self):
-        return staging.stage_order_items(self.raw("order_items"))
+        return staging.stage_order_items(self.raw("order_items"), deal=self.deal)
 
     @_table(STAGING)
     def stg_order_payments(self):
-        return staging.stage_order_payments(self.raw("order_payments"))
+        return staging.stage_order_payments(self.raw("order_payments"), deal=self.deal)
 
     @_table(STAGING)
     def stg_order_reviews(self):
@@ -115,7 +132,7 @@ class Model:
 
     @_table(MARTS)
     def fact_order_items(self):
-        return marts.fact_order_items(self.stg_order_items, self.stg_orders)
+        return marts.fact_order_items(self.stg_order_items, self.stg_orders, self.deal is not None)
 
     @_table(MARTS)
     def fact_orders(self):

@@ -13,7 +13,7 @@ from trustmart.operators import dashboard, monitors
 from trustmart.operators.contracts import caveat, gate, item_metrics, order_metrics, summarize
 from trustmart.operators.kpis import report_order
 from trustmart.operators.marts import order_seller_performance
-from trustmart.plans.model import WAVES, Model
+from trustmart.plans.model import MOST_LINES, WAVES, Model
 from trustmart.sources.layers import (
     CONTRACTS,
     KPI,
@@ -37,8 +37,6 @@ from trustmart.sources.raw import RAW_COLUMNS, register
 # Independent tables are written by a few jobs at a time, so that a small one does not leave the
 # cluster waiting.
 JOBS_AT_ONCE = 4
-#: Lines of one order, all of which a bucket holds, that item facts are still stored by order for.
-MOST_LINES = 5_000_000
 #: What is observed of a fact while it is written.
 METRICS = {"fact_orders": order_metrics, "fact_order_items": item_metrics}
 #: Bands that the monthly KPIs are expected to keep.

@@ -13,7 +13,7 @@ from trustmart.functions.clean import blank_to_null, norm_lower, norm_upper, par
 from trustmart.functions.metrics import as_reported
 from trustmart.operators import contracts, cube, dashboard, kpis, marts, monitors, people, quality, staging
 from trustmart.operators.dedupe import asc_last, dedupe_keep_first, desc_last
-from trustmart.plans.model import Model
+from trustmart.plans.model import MOST_LINES, Model
 from trustmart.plans.oracle import order_kpis_sql, statement
 from trustmart.sources.adapter import DriverTables
 from trustmart.sources.layers import (
@@ -388,16 +388,25 @@ query(
 # --- over facts that are stored by order ----------------------------------------------------
 
 
-def _facts_by_order(m: Model) -> tuple[DataFrame, DataFrame]:
-    """Item and order facts, stored in buckets by order id as a publication stores them."""
-    spark = m.stg_orders.sparkSession
+def _facts_by_order(m: Model, most_lines: int = MOST_LINES) -> tuple[DataFrame, DataFrame]:
+    """Item and order facts, stored in buckets by order id as a publication stores them.
+
+    Raw rows are dealt by order once, and orders sum up their lines from the stored item facts. Where an
+    order has too many rows for one task, rows are de-duplicated and joined under their own keys, and
+    the item facts are stored plainly, as in a publication.
+    """
+    spark = m.raw("orders").sparkSession
     layers = Layers(spark, _run_folder(spark), "trustmart_check_")
     by_order = Buckets("order_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
-    items, orders = (
-        layers.write_bucketed(MARTS, name, dealt(df, by_order), by_order)
-        for name, df in (("fact_order_items", m.fact_order_items), ("fact_orders", m.orders))
-    )
-    return items, orders
+    by = m.dealt_by_order(lambda df: dealt(df, by_order), by_order.count, most_lines)
+    if by.deal:
+        items = layers.write_bucketed(MARTS, "fact_order_items", by.fact_order_items, by_order)
+    else:
+        items = layers.write(MARTS, "fact_order_items", by.fact_order_items)
+    orders = marts.order_facts(by.stg_orders, items, by.stg_order_payments, by.stg_order_reviews)
+    if not by.deal:
+        orders = dealt(orders, by_order)
+    return items, layers.write_bucketed(MARTS, "fact_orders", orders, by_order)
 
 
 query("stored_seller_risk", ORACLES["kpi_seller_risk"])(

@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -166,6 +166,19 @@ def largest_group(df: DataFrame, key: str) -> int:
     return most or 0
 
 
+def overfull(frames: Sequence[DataFrame], key: str, parts: int) -> int:
+    """Rows above the mean in the fullest of ``parts`` tasks that ``key`` is hashed into: what a hot key
+    adds to the frame it is hottest in.
+
+    Counted before anything is shuffled, all frames in one job; one number reaches the driver.
+    """
+    part = F.pmod(F.hash(F.col(key).cast("string")), F.lit(parts)).alias("part")
+    of = [df.select(F.lit(i).alias("frame"), part) for i, df in enumerate(frames)]
+    rows = reduce(DataFrame.unionByName, of).groupBy("frame", "part").agg(F.count(F.lit(1)).alias("n"))
+    extra = rows.groupBy("frame").agg((F.max("n") - F.sum("n") / parts).alias("extra"))
+    return int(extra.agg(F.max("extra").alias("extra")).first()["extra"] or 0)
+
+
 def export(
     df: DataFrame, path: str, fmt: str = "parquet", order_by: Sequence[Column] = ()
 ) -> None:
