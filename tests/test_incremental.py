@@ -1,6 +1,7 @@
 """Keyed winners batch by batch, and facts month by month."""
 
 import os
+import re
 from datetime import date, datetime
 
 import pytest
@@ -47,6 +48,27 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     assert store.state()[0] == 3 and store.rows().count() == 15
 
 
+def test_a_commit_shuffles_its_rows_once(spark, tmp_path, monkeypatch):
+    """To the tasks that write them, at least one a bucket; nothing is shuffled again into its files."""
+    seen = []
+    for way in ("_by_bucket", "_by_key"):
+        run = getattr(KeyedWinners, way)
+        monkeypatch.setattr(KeyedWinners, way, lambda *a, run=run, way=way: seen.append((way, run(*a))) or seen[-1][1])
+    df = frame(spark, SCHEMA, *rows())
+    for folder, most in (("few", 5000), ("hot", 1000)):
+        store = KeyedWinners(spark, str(tmp_path / folder), df.schema, RULE, buckets=3, most_rows=most)
+        store.commit("all", df.filter("k <> 'k1' or k is null"))
+        store.commit("rest", df.filter("k = 'k1'"))
+        total = Rule(RULE.keys, lambda: [*RULE.order(), asc_last("rest")])
+        assert bag(store.rows()) == bag(total.winners(df))
+    assert [way for way, _ in seen] == ["_by_bucket", "_by_bucket", "_by_key", "_by_bucket"]
+    # Two parts a bucket, for the session's four shuffle partitions; the hot key is cut down before its shuffle.
+    plans = [merged._jdf.queryExecution().executedPlan().toString() for _, merged in seen[:3]]
+    assert [len(re.findall(r"Exchange \w+", p)) for p in plans] == [1, 1, 2]
+    assert all(re.search(r"Exchange \w+\(.*, 6\)", p) for p in plans[:2])
+    assert "WindowGroupLimit" in plans[2][plans[2].rindex("Exchange") :]
+
+
 def test_of_two_commits_at_once_one_wins(spark, tmp_path):
     df = frame(spark, SCHEMA, ("a", 1, "x", 1))
     one, other = (KeyedWinners(spark, str(tmp_path), df.schema, RULE) for _ in range(2))

@@ -80,9 +80,8 @@ RULES = {
 }
 
 
-def stage_orders(raw_orders: DataFrame, deal: Deal | None = None) -> DataFrame:
-    """One row per order; the latest purchase wins."""
-    typed_orders = raw_orders.select(
+def typed_orders(raw_orders: DataFrame) -> DataFrame:
+    return raw_orders.select(
         text("order_id").alias("order_id"),
         text("customer_id").alias("customer_id"),
         norm_lower("order_status").alias("order_status"),
@@ -92,12 +91,15 @@ def stage_orders(raw_orders: DataFrame, deal: Deal | None = None) -> DataFrame:
         parse_ts("order_delivered_customer_date").alias("delivered_customer_ts"),
         parse_ts("order_estimated_delivery_date").alias("estimated_delivery_ts"),
     )
-    return RULES["stg_orders"].winners(typed_orders, deal)
 
 
-def stage_order_items(raw_items: DataFrame, money=MONEY, deal: Deal | None = None) -> DataFrame:
-    """One row per order line; the latest shipping limit wins, then seller, product, dearest."""
-    typed_items = raw_items.select(
+def stage_orders(raw_orders: DataFrame, deal: Deal | None = None) -> DataFrame:
+    """One row per order; the latest purchase wins."""
+    return RULES["stg_orders"].winners(typed_orders(raw_orders), deal)
+
+
+def typed_order_items(raw_items: DataFrame, money=MONEY) -> DataFrame:
+    return raw_items.select(
         text("order_id").alias("order_id"),
         typed("order_item_id", "int").alias("order_item_id"),
         text("product_id").alias("product_id"),
@@ -106,7 +108,11 @@ def stage_order_items(raw_items: DataFrame, money=MONEY, deal: Deal | None = Non
         typed("price", money).alias("price"),
         typed("freight_value", money).alias("freight_value"),
     )
-    return RULES["stg_order_items"].winners(typed_items, deal)
+
+
+def stage_order_items(raw_items: DataFrame, money=MONEY, deal: Deal | None = None) -> DataFrame:
+    """One row per order line; the latest shipping limit wins, then seller, product, dearest."""
+    return RULES["stg_order_items"].winners(typed_order_items(raw_items, money), deal)
 
 
 def stage_order_payments(raw_payments: DataFrame, money=MONEY, deal: Deal | None = None) -> DataFrame:

@@ -709,13 +709,14 @@ query(
 
 def _in_batches(m: Model, table: str) -> DataFrame:
     """A staging table from three batches of its raw rows, the last of which is committed twice."""
-    raw_name, stage = {
-        "stg_orders": ("orders", staging.stage_orders),
-        "stg_order_items": ("order_items", staging.stage_order_items),
+    raw_name, typed = {
+        "stg_orders": ("orders", staging.typed_orders),
+        "stg_order_items": ("order_items", staging.typed_order_items),
     }[table]
     raw = m.raw(raw_name)
     numbered = raw.withColumn("__batch", F.pmod(F.xxhash64(*raw.columns), F.lit(3)))
-    parts = [stage(numbered.filter(F.col("__batch") == i).drop("__batch")) for i in (2, 0, 1, 1)]
+    # Copies stay in: a commit drops them in the shuffle that merges.
+    parts = [typed(numbered.filter(F.col("__batch") == i).drop("__batch")) for i in (2, 0, 1, 1)]
     spark = raw.sparkSession
     winners = KeyedWinners(spark, _run_folder(spark), parts[0].schema, staging.RULES[table])
     return merged_in_batches(winners, list(zip(("two", "zero", "one", "one"), parts, strict=True)))

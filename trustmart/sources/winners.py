@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustmart.operators.dedupe import asc_last
@@ -13,7 +13,9 @@ from trustmart.sources.versions import StaleCommit, VersionFiles
 
 __all__ = ["KeyedWinners", "StaleCommit", "merged_in_batches"]
 
-BUCKET = "__bucket"
+BUCKET, PART = "__bucket", "__part"
+#: Rows that a batch may have in its fullest bucket above the mean of all buckets and still be dealt by bucket.
+MOST_ROWS = 5_000_000
 
 
 class KeyedWinners:
@@ -27,13 +29,18 @@ class KeyedWinners:
     changes nothing.
 
     The rule's order is made total by the remaining columns, so batches in any order, cut in any way,
-    give the rows of one run over everything. A key with very many rows is cut down to one row a task
-    before it is shuffled, and the files of a bucket are split by size.
+    give the rows of one run over everything, and a batch may hold copies. Rows are shuffled once, to
+    the task that merges their part of a bucket and writes it; a bucket has as many parts as give every
+    shuffle partition of the session a task. Where a key has so many rows that the fullest bucket of a
+    batch lies more than ``most_rows`` above the mean, rows are shuffled by key instead, of which each
+    task sends one row a key at most, and once more into files of their bucket, split by size.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema, rule: Rule, buckets: int = 64):
+    def __init__(
+        self, spark: SparkSession, root: str, schema, rule: Rule, buckets: int = 64, most_rows: int = MOST_ROWS
+    ):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.rule, self.buckets = rule, buckets
+        self.rule, self.buckets, self.most_rows = rule, buckets, most_rows
         self.manifest = VersionFiles(spark, f"{self.root}/manifest")
 
     # --- manifest ---
@@ -84,21 +91,38 @@ class KeyedWinners:
         version, where, batches = self.state()
         if batch_id in batches:
             return False
-        rule = Rule(self.rule.keys, lambda: [*self.rule.order(), *[asc_last(c) for c in self.schema.names]])
         bucket = F.pmod(F.xxhash64(*self.rule.keys), F.lit(self.buckets)).cast("int").alias(BUCKET)
         own = batch.select(*self.schema.names)
-        # At most ``buckets`` numbers reach the driver.
-        touched = sorted(r[BUCKET] for r in own.select(bucket).distinct().collect())
+        # At most ``buckets`` rows reach the driver.
+        counted = own.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).collect()
+        touched = sorted(r[BUCKET] for r in counted)
         if touched:
             known = self._read({b: where[b] for b in touched if b in where})
-            merged = rule.winners(known.unionByName(own)).select("*", bucket)
+            extra = max(r["n"] for r in counted) - sum(r["n"] for r in counted) // self.buckets
+            merged = (self._by_bucket if extra <= self.most_rows else self._by_key)(known.unionByName(own), bucket)
             folder = f"{self.root}/rows/v{version + 1:09d}"
             # A folder that a lost or beaten commit has left is written over.
-            merged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+            merged.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
         self._publish(version + 1, {**where, **dict.fromkeys(touched, version + 1)}, [*batches, batch_id])
         return True
 
 
+    def _winners(self, rows: DataFrame, *also: str) -> DataFrame:
+        order = lambda: [*self.rule.order(), *[asc_last(c) for c in self.schema.names]]
+        return Rule((*self.rule.keys, *also), order).winners(rows)
+
+    def _by_key(self, rows: DataFrame, bucket: Column) -> DataFrame:
+        return self._winners(rows).select("*", bucket).hint("rebalance", BUCKET)
+
+    def _by_bucket(self, rows: DataFrame, bucket: Column) -> DataFrame:
+        parts = -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets)
+        part = F.pmod(F.xxhash64(F.lit(PART), *self.rule.keys), F.lit(parts)).cast("int")
+        placed = rows.select("*", bucket).withColumn(PART, F.col(BUCKET) * parts + part)
+        # A key lies in one part, so the part beside it changes no group, and Spark shuffles no more.
+        dealt = placed.repartitionById(self.buckets * parts, F.col(PART))
+        return self._winners(dealt, PART).drop(PART)
+
+
 def merged_in_batches(winners: KeyedWinners, batches: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """The winners after all of ``batches``, each under its name."""
     for name, rows in batches:
