@@ -86,6 +86,17 @@ def test_rows_dealt_by_order_are_shuffled_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_the_gate_tests_facts_that_are_stored_once(spark, monkeypatch):
+    stored, tested = [], []
+    facts, results = registry._facts_by_order, registry.Model.contract_results
+    monkeypatch.setattr(registry, "_facts_by_order", lambda m: stored.append(facts(m)) or stored[-1])
+    monkeypatch.setattr(registry.Model, "contract_results", lambda m: tested.append((m.fact_order_items, m.orders)) or results(m))
+    rows = {r.run: r for r in registry.queries()["publication_gate"](spark, SMALL).collect()}
+    assert len(stored) == 1 and tested == [stored[0], stored[0]]
+    assert rows["clean"].released and not rows["no products"].released
+    assert rows["no products"].critical_failed == rows["clean"].critical_failed + 1
+
+
 def test_an_order_of_too_many_rows_is_not_dealt_by_order(spark):
     one = [(f"o{i}",) for i in range(400)]
     hot = frame(spark, "order_id string", *one, *[("hot",)] * 900)
