@@ -160,3 +160,16 @@ def test_staging_does_not_depend_on_row_order(spark, small_model):
     assert bag(staging.stage_order_items(raw.repartition(7, "price"))) == bag(
         small_model.stg_order_items
     )
+
+
+def test_payment_values_are_those_of_the_rows_that_win(spark):
+    raw = frame(
+        spark,
+        "order_id string, payment_sequential string, payment_type string, payment_installments string, payment_value string",
+        ("a", "1", "card", "1", "9.5"), ("a", "1", "boleto", "3", "10.0"), ("a", "1", "card", "2", "10.0"), ("a", "1", "card", "2", None),
+        ("a", "2", "card", "2", None), ("a", "2", "boleto", "1", None), ("a", None, "card", "1", "1.0"), (None, "1", "card", "1", "-3.0"),
+    )
+    winners = staging.stage_order_payments(raw).select("order_id", "payment_sequential", "payment_value")
+    values = staging.payment_values(raw)
+    assert values.schema == winners.schema and bag(values) == bag(winners)
+    assert bag(staging.payment_values(raw, deal=lambda df: df.repartition(3, "order_id"))) == bag(winners)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from tests.rows import bag, frame
 from tests.shop import raw_tables, shop
-from trustmart.operators import contracts, kpis, monitors
+from trustmart.operators import contracts, kpis, marts, monitors
 from trustmart.plans import registry
 from trustmart.plans.publish import publish
 from trustmart.sources.layers import Buckets, Layers, PublicationLog, dealt, overfull, written_observed
@@ -86,6 +86,40 @@ def test_rows_dealt_by_order_are_shuffled_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_order_facts_sum_payments_without_sorting_them(spark):
+    model = shop(spark)
+    by = model.dealt_by_order(lambda df: dealt(df, Buckets("order_id", 4)), 4)
+    for orders in (model.orders, by.orders):
+        assert re.search(r"HashAggregate\(keys=\[order_id#\d+, payment_sequential#\d+\]", _plan(orders))
+        assert not re.search(r"(Sort|Window\w*) \[.*payment_sequential", _plan(orders))
+    kept = ("order_id", "payment_value_total", "payment_record_count")
+    totals = marts.rollup_payments(model.stg_order_payments)
+    assert bag(by.orders.select(*kept).dropna()) == bag(totals.join(model.stg_orders, "order_id", "left_semi").select(*kept).dropna())
+
+
+def test_keys_and_amounts_are_stored_without_a_dictionary(spark, tmp_path):
+    by_a = Buckets("a", 2)
+    rows = frame(spark, "a string, b decimal(16,4), c string", *[(f"k{i}", None, "x") for i in range(50)])
+    stored = Layers(spark, str(tmp_path), "plain_").write_bucketed("marts", "t", dealt(rows, by_a), by_a)
+    (file, *_) = [f[len("file:") :] for f in stored.inputFiles()]
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    with_dictionary = {group.column(i).path_in_schema for i in range(3) if any("DICT" in e for e in group.column(i).encodings)}
+    assert with_dictionary == {"c"} and bag(stored) == bag(rows)
+
+
+def test_stored_lines_meet_their_orders_as_they_are_read(spark):
+    """Lines in buckets are not summed before the join; lines that are stored plainly still are."""
+    expected = bag(registry.model_over(spark, SMALL).category_performance())
+    for most_lines, summed in ((10**6, False), (0, True)):
+        report = registry.stored_category(registry.model_over(spark, SMALL), most_lines)
+        assert bool(re.search(r"HashAggregate\(keys=\[order_id#\d+, product_id#\d+\]", _plan(report))) == summed
+        assert bag(report) == expected
+
+
 def test_the_gate_tests_facts_that_are_stored_once(spark, monkeypatch):
     stored, tested = [], []
     facts, results = registry._facts_by_order, registry.Model.contract_results

@@ -115,7 +115,22 @@ def stage_order_items(raw_items: DataFrame, money=MONEY, deal: Deal | None = Non
     return RULES["stg_order_items"].winners(typed_order_items(raw_items, money), deal)
 
 
-def stage_order_payments(raw_payments: DataFrame, money=MONEY, deal: Deal | None = None) -> DataFrame:
+def payment_values(raw_payments: DataFrame, money=MONEY, deal: Deal | None = None) -> DataFrame:
+    """Payments of an order with the value of the row that wins, which is the highest.
+
+    Other columns only settle which of several rows of one value stays, so values need neither them
+    nor a sort.
+    """
+    values = raw_payments.select(
+        text("order_id").alias("order_id"),
+        typed("payment_sequential", "int").alias("payment_sequential"),
+        typed("payment_value", money).alias("payment_value"),
+    )
+    keys = RULES["stg_order_payments"].keys
+    return (deal(values) if deal else values).groupBy(*keys).agg(F.max("payment_value").alias("payment_value"))
+
+
+def stage_order_payments(raw_payments: DataFrame, money=MONEY) -> DataFrame:
     """One row per payment of an order; the highest value wins."""
     typed_payments = raw_payments.select(
         text("order_id").alias("order_id"),
@@ -124,7 +139,7 @@ def stage_order_payments(raw_payments: DataFrame, money=MONEY, deal: Deal | None
         typed("payment_installments", "int").alias("payment_installments"),
         typed("payment_value", money).alias("payment_value"),
     )
-    return RULES["stg_order_payments"].winners(typed_payments, deal)
+    return RULES["stg_order_payments"].winners(typed_payments)
 
 
 def stage_order_reviews(raw_reviews: DataFrame) -> DataFrame:

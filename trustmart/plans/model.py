@@ -86,7 +86,7 @@ class Model:
 
     @_table(STAGING)
     def stg_order_payments(self):
-        return staging.stage_order_payments(self.raw("order_payments"), deal=self.deal)
+        return staging.stage_order_payments(self.raw("order_payments"))
 
     @_table(STAGING)
     def stg_order_reviews(self):
@@ -144,7 +144,7 @@ class Model:
 
     def _bare_orders(self) -> DataFrame:
         return marts.order_facts(
-            self.stg_orders, self.order_lines, self.stg_order_payments, self.stg_order_reviews
+            self.stg_orders, self.order_lines, self.payment_values, self.stg_order_reviews
         )
 
     @_table(MARTS)
@@ -160,6 +160,13 @@ class Model:
         """Items with GMV. Lines of unknown orders fall out where they meet the orders."""
         return self.fact_order_items if self.keep else marts.with_item_gmv(self.stg_order_items)
 
+    @cached_property
+    def payment_values(self) -> DataFrame:
+        """Payments for roll-ups by order; in a lazy model without kind and instalments."""
+        if self.keep:
+            return self.stg_order_payments
+        return staging.payment_values(self.raw("order_payments"), deal=self.deal)
+
     @cached_property
     def orders(self) -> DataFrame:
         """Order facts; in a lazy model without the person and the order number."""

@@ -252,6 +252,15 @@ _MODEL_TABLES = {
 }
 
 
+def _order_buckets(spark: SparkSession) -> Buckets:
+    return Buckets("order_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _dealt_by_order(m: Model, most_lines: int = MOST_LINES) -> Model:
+    by_order = _order_buckets(m.raw("orders").sparkSession)
+    return m.dealt_by_order(lambda df: dealt(df, by_order), by_order.count, most_lines)
+
+
 def _model_table(attribute: str) -> Plan:
     return lambda m: as_reported(getattr(m, attribute))
 
@@ -388,8 +397,9 @@ query(
 # --- over facts that are stored by order ----------------------------------------------------
 
 
-def _facts_by_order(m: Model, most_lines: int = MOST_LINES) -> tuple[DataFrame, DataFrame]:
-    """Item and order facts, stored in buckets by order id as a publication stores them.
+def _stored_by_order(m: Model, most_lines: int = MOST_LINES) -> tuple[DataFrame, DataFrame, bool]:
+    """Item and order facts, stored in buckets by order id as a publication stores them, and whether
+    the items are in buckets, too.
 
     Raw rows are dealt by order once, and orders sum up their lines from the stored item facts. Where an
     order has too many rows for one task, rows are de-duplicated and joined under their own keys, and
@@ -397,24 +407,33 @@ def _facts_by_order(m: Model, most_lines: int = MOST_LINES) -> tuple[DataFrame,
     """
     spark = m.raw("orders").sparkSession
     layers = Layers(spark, _run_folder(spark), "trustmart_check_")
-    by_order = Buckets("order_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
-    by = m.dealt_by_order(lambda df: dealt(df, by_order), by_order.count, most_lines)
+    by_order = _order_buckets(spark)
+    by = _dealt_by_order(m, most_lines)
     if by.deal:
         items = layers.write_bucketed(MARTS, "fact_order_items", by.fact_order_items, by_order)
     else:
         items = layers.write(MARTS, "fact_order_items", by.fact_order_items)
-    orders = marts.order_facts(by.stg_orders, items, by.stg_order_payments, by.stg_order_reviews)
+    orders = marts.order_facts(by.stg_orders, items, by.payment_values, by.stg_order_reviews)
     if not by.deal:
         orders = dealt(orders, by_order)
-    return items, layers.write_bucketed(MARTS, "fact_orders", orders, by_order)
+    return items, layers.write_bucketed(MARTS, "fact_orders", orders, by_order), by.deal is not None
+
+
+def _facts_by_order(m: Model, most_lines: int = MOST_LINES) -> tuple[DataFrame, DataFrame]:
+    return _stored_by_order(m, most_lines)[:2]
 
 
 query("stored_seller_risk", ORACLES["kpi_seller_risk"])(
     lambda m: kpis.seller_risk(*_facts_by_order(m), m.sellers, 450)
 )
-query("stored_category", ORACLES["kpi_category"])(
-    lambda m: kpis.category_performance(*_facts_by_order(m), m.products)
-)
+
+
+@query("stored_category", ORACLES["kpi_category"])
+def stored_category(m: Model, most_lines: int = MOST_LINES) -> DataFrame:
+    items, orders, in_place = _stored_by_order(m, most_lines)
+    return kpis.category_performance(items, orders, m.products, in_place)
+
+
 query("stored_seller_concentration", ORACLES["kpi_seller_concentration"])(
     lambda m: kpis.seller_concentration(*_facts_by_order(m))
 )

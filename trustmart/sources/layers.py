@@ -13,7 +13,7 @@ from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StructType
 
 from trustmart.sources.versions import StaleCommit, VersionFiles
 
@@ -124,10 +124,13 @@ class Layers:
         """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}work")
         table = f"{self.prefix}work.{layer}_{name}_{uuid.uuid4().hex[:12]}"
+        # Keys and exact amounts hardly repeat: a dictionary of them is filled only to be given up.
+        plain = [f.name for f in df.schema if f.name == buckets.key or isinstance(f.dataType, DecimalType)]
         (
             df.write.mode("overwrite")
             .format("parquet")
             .option("path", self.path(layer, name))
+            .options(**{f"parquet.enable.dictionary#{c}": "false" for c in plain})
             .bucketBy(buckets.count, buckets.key)
             .sortBy(buckets.key)
             .saveAsTable(table)
@@ -173,10 +176,10 @@ def overfull(frames: Sequence[DataFrame], key: str, parts: int) -> int:
     Counted before anything is shuffled, all frames in one job; one number reaches the driver.
     """
     part = F.pmod(F.hash(F.col(key).cast("string")), F.lit(parts)).alias("part")
-    of = [df.select(F.lit(i).alias("frame"), part) for i, df in enumerate(frames)]
-    rows = reduce(DataFrame.unionByName, of).groupBy("frame", "part").agg(F.count(F.lit(1)).alias("n"))
-    extra = rows.groupBy("frame").agg((F.max("n") - F.sum("n") / parts).alias("extra"))
-    return int(extra.agg(F.max("extra").alias("extra")).first()["extra"] or 0)
+    # Each frame is counted by itself: frames with the same ids have the same plan, which Spark runs once.
+    rows = [df.select(part).groupBy("part").agg(F.count(F.lit(1)).alias("n")) for df in frames]
+    extra = [n.agg((F.max("n") - F.sum("n") / parts).alias("extra")) for n in rows]
+    return int(reduce(DataFrame.unionByName, extra).agg(F.max("extra").alias("extra")).first()["extra"] or 0)
 
 
 def export(
