@@ -120,6 +120,14 @@ def test_stored_lines_meet_their_orders_as_they_are_read(spark):
         assert bag(report) == expected
 
 
+def test_sellers_of_stored_lines_are_summed_once(spark):
+    expected = bag(registry.model_over(spark, SMALL).seller_concentration())
+    for most_lines, summed in ((10**6, False), (0, True)):
+        report = registry.stored_seller_concentration(registry.model_over(spark, SMALL), most_lines)
+        assert bool(re.search(r"HashAggregate\(keys=\[seller_id#\d+, order_id#\d+\]", _plan(report))) == summed
+        assert bag(report) == expected
+
+
 def test_the_gate_tests_facts_that_are_stored_once(spark, monkeypatch):
     stored, tested = [], []
     facts, results = registry._facts_by_order, registry.Model.contract_results

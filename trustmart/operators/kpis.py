@@ -246,11 +246,14 @@ def payment_mix(stg_payments: DataFrame) -> DataFrame:
 
 
 def seller_concentration(
-    items: DataFrame, facts: DataFrame, ks: Sequence[int] = (5, 10, 50)
+    items: DataFrame, facts: DataFrame, ks: Sequence[int] = (5, 10, 50), in_place: bool = False
 ) -> DataFrame:
-    """GMV and share of the leading sellers, eligible orders only."""
-    sold = with_orders(rollup_seller_orders(items), _eligible(facts))
-    return ranking.concentration(sold, "seller_id", "seller_gmv", ks)
+    """GMV and share of the leading sellers, eligible orders only. ``in_place``: as for categories."""
+    if in_place:
+        lines = items.select("order_id", "seller_id", F.col("gmv").alias("seller_gmv"))
+    else:
+        lines = rollup_seller_orders(items)
+    return ranking.concentration(with_orders(lines, _eligible(facts)), "seller_id", "seller_gmv", ks)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -434,9 +434,10 @@ def stored_category(m: Model, most_lines: int = MOST_LINES) -> DataFrame:
     return kpis.category_performance(items, orders, m.products, in_place)
 
 
-query("stored_seller_concentration", ORACLES["kpi_seller_concentration"])(
-    lambda m: kpis.seller_concentration(*_facts_by_order(m))
-)
+@query("stored_seller_concentration", ORACLES["kpi_seller_concentration"])
+def stored_seller_concentration(m: Model, most_lines: int = MOST_LINES) -> DataFrame:
+    items, orders, in_place = _stored_by_order(m, most_lines)
+    return kpis.seller_concentration(items, orders, in_place=in_place)
 
 
 # --- data quality and contracts -------------------------------------------------------------
