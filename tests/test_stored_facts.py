@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from tests.rows import bag, frame
 from tests.shop import raw_tables, shop
+from trustmart.functions.metrics import as_reported
 from trustmart.operators import contracts, kpis, marts, monitors
 from trustmart.plans import registry
 from trustmart.plans.publish import publish
@@ -128,6 +129,18 @@ def test_sellers_of_stored_lines_are_summed_once(spark):
         assert bag(report) == expected
 
 
+def test_fact_orders_are_dealt_by_order(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = registry.queries()["fact_orders"](spark, SMALL)
+        plain = as_reported(registry.model_over(spark, SMALL).fact_orders)
+        assert len(_exchanges(facts)) < len(_exchanges(plain))
+        assert bag(facts.drop("avg_review_score")) == bag(plain.drop("avg_review_score"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_the_gate_tests_facts_that_are_stored_once(spark, monkeypatch):
     stored, tested = [], []
     facts, results = registry._facts_by_order, registry.Model.contract_results

@@ -268,6 +268,13 @@ def _model_table(attribute: str) -> Plan:
 for _name, (_attribute, _money) in _MODEL_TABLES.items():
     query(_name, _everything(_attribute, *_money))(_model_table(_attribute))
 
+
+@query("fact_orders", ORACLES["fact_orders"])
+def fact_orders(m: Model) -> DataFrame:
+    """Order facts; orders, items and payments are shuffled by order id once."""
+    return as_reported(_dealt_by_order(m).fact_orders)
+
+
 query(
     "dim_geography",
     """
